@@ -7,7 +7,13 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import IDF, HashingTF, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    IDF,
+    HashingTF,
+    StringIndexer,
+    StringIndexerModel,
+    VectorAssembler,
+)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -72,7 +78,22 @@ def fit_pipeline(
     categorical: Sequence[str] = (),
     invalid: str = "skip",
 ) -> PipelineModel:
-    return Pipeline(stages=[*feature_stages(numeric, categorical, invalid), learner]).fit(train)
+    """Fit the encoders, then the learner on the encoded rows."""
+    encoder = Pipeline(stages=feature_stages(numeric, categorical, invalid)).fit(train)
+    encoded = encoder.transform(train)
+    fitted = learner.fit(encoded, {learner.maxBins: bins_for(encoder, learner)})
+    return PipelineModel(stages=[*encoder.stages, fitted])
+
+
+def bins_for(encoder: PipelineModel, learner) -> int:
+    """Split candidates per column: at least one for each level of a category."""
+    sizes = [
+        len(labels) + 1
+        for stage in encoder.stages
+        if isinstance(stage, StringIndexerModel)
+        for labels in stage.labelsArray
+    ]
+    return max([learner.getMaxBins(), *sizes])
 
 
 def scored(model: PipelineModel, df: DataFrame, name: str = "default_proba") -> DataFrame:

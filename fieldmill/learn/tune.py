@@ -21,7 +21,13 @@ from pyspark.sql import functions as F
 from ..functions.numbers import portable_hash
 from ..session import kept
 from .evaluate import average_precision
-from .model import boosted_classifier, feature_stages, forest_classifier
+from .model import (
+    bins_for,
+    boosted_classifier,
+    feature_stages,
+    fit_pipeline,
+    forest_classifier,
+)
 
 Space = Mapping[str, tuple]
 
@@ -89,7 +95,8 @@ def search(
 
     def trial(params: dict) -> tuple[float, float]:
         started = time.perf_counter()
-        model = learner(label, **{**(fixed or {}), **params}).fit(fit_rows)
+        estimator = learner(label, **{**(fixed or {}), **params})
+        model = estimator.fit(fit_rows, {estimator.maxBins: bins_for(encoder, estimator)})
         return METRICS[metric](model.transform(val_rows), label), time.perf_counter() - started
 
     try:
@@ -129,7 +136,8 @@ def sweep(
     try:
         for value in values:
             started = time.perf_counter()
-            model = learner(label, **{**(fixed or {}), parameter: value}).fit(fit_rows)
+            estimator = learner(label, **{**(fixed or {}), parameter: value})
+            model = estimator.fit(fit_rows, {estimator.maxBins: bins_for(encoder, estimator)})
             seconds = time.perf_counter() - started
             score = METRICS[metric](model.transform(val_rows), label)
             rows.append((parameter, float(value), float(score), seconds, model.getNumTrees))
@@ -154,16 +162,22 @@ def cross_validated_auc(
 ) -> float:
     """Mean ROC AUC over folds given by a hash of ``id_col``."""
     rows = df.withColumn("__fold", F.pmod(portable_hash(id_col), F.lit(folds)).cast("int"))
-    stages = [*feature_stages(numeric, categorical), learner(label, **params)]
+    encoder = Pipeline(stages=feature_stages(numeric, categorical)).fit(rows)
+    estimator = learner(label, **params)
+    estimator.setMaxBins(bins_for(encoder, estimator))
     validator = CrossValidator(
-        estimator=Pipeline(stages=stages),
+        estimator=estimator,
         estimatorParamMaps=ParamGridBuilder().build(),
         evaluator=BinaryClassificationEvaluator(labelCol=label, numBins=0),
         numFolds=folds,
         foldCol="__fold",
         parallelism=parallelism,
     )
-    return float(validator.fit(rows).avgMetrics[0])
+    encoded = kept(encoder.transform(rows).select("features", label, "__fold"))
+    try:
+        return float(validator.fit(encoded).avgMetrics[0])
+    finally:
+        encoded.unpersist()
 
 
 def leaderboard(trials: DataFrame, metric: str = "score", k: int = 10) -> DataFrame:
@@ -245,8 +259,7 @@ def refit(
     learner: Callable = forest_classifier,
 ):
     """Pipeline fitted with the best parameters."""
-    stages = [*feature_stages(numeric, categorical), learner(label, **params)]
-    return Pipeline(stages=stages).fit(train)
+    return fit_pipeline(train, learner(label, **params), numeric, categorical)
 
 
 def trials_table(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
