@@ -17,7 +17,7 @@ from .standins import event_scores, loans
 
 def _lines(t: Tables) -> DataFrame:
     """Line items with a class (large discount) and a number to predict."""
-    return t.lineitem.select(
+    return t.spread("lineitem").select(
         "l_orderkey",
         "l_linenumber",
         "l_quantity",
@@ -72,7 +72,7 @@ def boosted_regressor(t: Tables) -> DataFrame:
 
 
 def _words(t: Tables) -> DataFrame:
-    words = t.documents.select("doc_id", "lang", F.split(cleaned("text"), " ").alias("w"))
+    words = t.spread("documents").select("doc_id", "lang", F.split(cleaned("text"), " ").alias("w"))
     return words.withColumn("w", kept_tokens("w", STOPWORDS))
 
 

@@ -196,7 +196,7 @@ def mail_body(t: Tables) -> DataFrame:
 )
 def measures(t: Tables) -> DataFrame:
     built = text_measures("text")
-    df = t.documents.withColumns(built).select("doc_id", *built)
+    df = t.spread("documents").withColumns(built).select("doc_id", *built)
     return rounded(df, "text_percent_capital", "text_percent_digits", digits=9)
 
 
@@ -208,12 +208,12 @@ _CLEAN_SQL = (
 
 @register("h15_clean_pages", f"SELECT page_id, {_CLEAN_SQL.format(c='html')} AS clean FROM pages")
 def clean_pages(t: Tables) -> DataFrame:
-    return t.pages.select("page_id", cleaned("html").alias("clean"))
+    return t.spread("pages").select("page_id", cleaned("html").alias("clean"))
 
 
 @register("h15_clean_documents", f"SELECT doc_id, {_CLEAN_SQL.format(c='text')} AS clean FROM documents")
 def clean_documents(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", cleaned("text").alias("clean"))
+    return t.spread("documents").select("doc_id", cleaned("text").alias("clean"))
 
 
 @register(
@@ -222,7 +222,7 @@ def clean_documents(t: Tables) -> DataFrame:
     SELECT doc_id, CAST(len(words) AS INTEGER) AS n_tokens, md5(array_to_string(words, '|')) AS digest FROM w""",
 )
 def tokenised(t: Tables) -> DataFrame:
-    df = t.documents.select("doc_id", cleaned("text").alias("clean"))
+    df = t.spread("documents").select("doc_id", cleaned("text").alias("clean"))
     words = df.select("doc_id", tokens("clean").alias("words"))
     return words.select(
         "doc_id",
@@ -238,7 +238,7 @@ def tokenised(t: Tables) -> DataFrame:
     SELECT doc_id, CAST(len(words) AS INTEGER) AS n_tokens, md5(array_to_string(words, '|')) AS digest FROM w""",
 )
 def without_stop_words(t: Tables) -> DataFrame:
-    df = t.documents.select("doc_id", tokens_of_clean("text").alias("words"))
+    df = t.spread("documents").select("doc_id", tokens_of_clean("text").alias("words"))
     kept = df.withColumn("words", kept_tokens("words", STOPWORDS))
     return kept.select(
         "doc_id",

@@ -186,7 +186,7 @@ def mails(t: Tables) -> DataFrame:
         .otherwise("")
     )
     status = F.when(turn % 3 == 0, "Status: RO").when(turn % 3 == 1, "Status: O").otherwise("")
-    return t.conversations.select(
+    return t.spread("conversations").select(
         "conv_id",
         "turn",
         F.concat(

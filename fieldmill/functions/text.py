@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import string
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -15,13 +17,16 @@ READ_MARK = "Status: RO"
 BODY_MARK = "Status: O"
 # Cleaning patterns. `[^\n]` keeps a tag within its line.
 TAG = r"<[^\n]*?>"
-NOT_LETTERS = r"[^a-zA-Z\s]+"
-SPACES = r"\s+"
+NOT_LETTERS = r"[^a-zA-Z]+"
 
 
 def _literal(text: str) -> str:
-    """Regular expression that matches ``text`` itself."""
-    return r"\Q" + text + r"\E"
+    """Regular expression that matches ``text`` itself.
+
+    Plain text stays unquoted, because Java splits at one plain character
+    without a regular expression.
+    """
+    return text if re.fullmatch(r"[\w :,;=-]+", text) else r"\Q" + text + r"\E"
 
 
 def extracted(column: str, pattern: str, group: int) -> Column:
@@ -59,20 +64,24 @@ def text_measures(column: str) -> dict[str, Column]:
     """Length, share of capitals, and share of characters that are neither
     ASCII letters nor spaces (named ``percent_digits``)."""
     c, size = F.col(column), F.length(column)
+    no_capitals = F.translate(c, string.ascii_uppercase, "")
+    others = F.translate(c, string.ascii_letters + " ", "")
     return {
         f"{column}_length": size,
-        f"{column}_percent_capital": F.try_divide(F.regexp_count(c, F.lit("[A-Z]")), size),
-        f"{column}_percent_digits": F.try_divide(
-            F.regexp_count(c, F.lit("[^A-Za-z ]")), size
-        ),
+        f"{column}_percent_capital": F.try_divide(size - F.length(no_capitals), size),
+        f"{column}_percent_digits": F.try_divide(F.length(others), size),
     }
 
 
 def cleaned(column: str) -> Column:
-    """Tags and everything but letters to spaces, spaces squeezed, lower case."""
-    c = F.regexp_replace(F.col(column), TAG, " ")
-    c = F.regexp_replace(c, NOT_LETTERS, " ")
-    return F.lower(F.regexp_replace(c, SPACES, " "))
+    """Tags and everything but letters to spaces, spaces squeezed, lower case.
+
+    A run of anything but letters ends as one space, whatever it is made of, so
+    one replacement does the work of two.
+    """
+    c = F.col(column)
+    untagged = F.when(c.contains("<"), F.regexp_replace(c, TAG, " ")).otherwise(c)
+    return F.lower(F.regexp_replace(untagged, NOT_LETTERS, " "))
 
 
 def tokens(column: str, separator: str = " ") -> Column:
@@ -83,9 +92,11 @@ def tokens(column: str, separator: str = " ") -> Column:
 def kept_tokens(column: str, stopwords: Iterable[str], min_length: int = 3) -> Column:
     """Tokens that are no stop words and have at least ``min_length`` characters."""
     words = sorted(set(stopwords))
-    keep = lambda t: F.length(t) >= min_length
-    if words:
-        keep = lambda t: (~t.isin(*words)) & (F.length(t) >= min_length)
+
+    def keep(token: Column) -> Column:
+        long_enough = F.length(token) >= min_length
+        return long_enough & ~token.isin(*words) if words else long_enough
+
     return F.filter(F.col(column), keep)
 
 

@@ -151,8 +151,11 @@ def clustered_texts(
 
 
 def term_counts(df: DataFrame, tokens: str, by: str) -> DataFrame:
+    # An outer explode is planned without a filter on the array, which would
+    # compute an expensive token expression twice.
     return (
-        df.select(by, F.explode(tokens).alias("term"))
+        df.select(by, F.explode_outer(tokens).alias("term"))
+        .where("term is not null")
         .groupBy(by, "term")
         .agg(F.count("*").alias("n"))
     )

@@ -131,11 +131,11 @@ class LevelFilter:
         if self.min_count is not None:
             frequent = counts.where(F.col("n") > self.min_count)
         else:
-            counts = staged(counts)
-            totals = counts.groupBy("variable").agg(F.sum("n").alias("total"))
-            frequent = counts.join(totals, "variable").where(
-                F.col("n") / F.col("total") >= self.min_share
-            )
+            filled_rows = df.agg(*(F.count(c).alias(c) for c in self.columns)).first()
+            total = F.lit(None)
+            for c in self.columns:
+                total = F.when(F.col("variable") == c, F.lit(filled_rows[c])).otherwise(total)
+            frequent = counts.where(F.col("n") / total >= self.min_share)
         self.levels = staged(frequent.select("variable", "value"))
         # One row more than the limit shows whether all levels fit.
         head = self.levels.take(INLINE_LEVELS + 1)

@@ -5,7 +5,8 @@ cannot be a plain window: one task would sort everything. Here the table is
 first reduced to one row per distinct value, range-partitioned by (group,
 value) and staged, so each partition is a slice of the sort order. A running
 total is then the sum of all earlier slices (a window over a few rows per
-group) plus a running total inside the slice.
+group) plus a running total inside the slice. Inputs that Spark itself estimates
+as small skip the slices.
 """
 
 from __future__ import annotations
@@ -15,57 +16,77 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import staged
+from ..session import is_small, staged
 
 _GROUP, _SLICE = "__group", "__slice"
 
 
-def running_totals(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    measures: Mapping[str, Column],
-    descending: bool = False,
-) -> DataFrame:
-    """One row per (keys, order) with totals so far and overall.
-
-    ``measures`` maps a name to an aggregate such as ``F.count("*")`` or
-    ``F.sum("label")``. For each measure ``m`` the result holds ``m`` (this
-    row), ``m_upto`` (this and all earlier rows of the group) and ``m_all``.
-    """
-    keys = list(keys)
-    aggregates = [expr.alias(name) for name, expr in measures.items()]
-    cells = df.groupBy(*keys, order).agg(*aggregates)
+def _group(keys: Sequence[str]) -> Column:
     # A struct never is null itself, so null keys meet in an ordinary equi-join.
-    group = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
-    sort = F.col(order).desc() if descending else F.col(order).asc()
-    sliced = staged(
-        cells.withColumn(_GROUP, group)
+    return F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
+
+
+def _sliced(cells: DataFrame, keys: Sequence[str], sort: Column) -> DataFrame:
+    """Cells in range partitions, with their partition number made permanent."""
+    return staged(
+        cells.withColumn(_GROUP, _group(keys))
         .repartitionByRange(_GROUP, sort)
         .withColumn(_SLICE, F.spark_partition_id())
     )
 
+
+def _offsets(sliced: DataFrame, measures: Sequence[str]) -> DataFrame:
+    """Totals of earlier slices and of the whole group, per (group, slice)."""
     earlier = Window.partitionBy(_GROUP).orderBy(_SLICE).rowsBetween(
         Window.unboundedPreceding, -1
     )
     whole = Window.partitionBy(_GROUP)
     totals = sliced.groupBy(_GROUP, _SLICE).agg(
-        *(F.sum(m).alias(f"__{m}") for m in measures)
+        *(F.sum(m).alias(f"__{m}_slice") for m in measures)
     )
-    offsets = totals.select(
-        _GROUP,
-        _SLICE,
-        *(
-            F.coalesce(F.sum(f"__{m}").over(earlier), F.lit(0)).alias(f"__{m}_before")
-            for m in measures
-        ),
-        *(F.sum(f"__{m}").over(whole).alias(f"{m}_all") for m in measures),
+    return totals.withColumns(
+        {
+            **{
+                f"__{m}_before": F.coalesce(F.sum(f"__{m}_slice").over(earlier), F.lit(0))
+                for m in measures
+            },
+            **{f"{m}_all": F.sum(f"__{m}_slice").over(whole) for m in measures},
+        }
     )
+
+
+def _running(
+    cells: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    measures: Sequence[str],
+    descending: bool,
+    wanted: Column | None = None,
+) -> DataFrame:
+    """Running totals over cells; ``wanted`` may select slices by their offsets."""
+    sort = F.col(order).desc() if descending else F.col(order).asc()
+    if is_small(cells):
+        upto = Window.partitionBy(*keys).orderBy(sort).rowsBetween(
+            Window.unboundedPreceding, 0
+        )
+        whole = Window.partitionBy(*keys)
+        return cells.withColumns(
+            {
+                **{f"{m}_upto": F.sum(m).over(upto) for m in measures},
+                **{f"{m}_all": F.sum(m).over(whole) for m in measures},
+            }
+        )
+    sliced = _sliced(cells, keys, sort)
+    offsets = _offsets(sliced, measures)
+    if wanted is not None:
+        offsets = offsets.where(wanted)
     inside = Window.partitionBy(_GROUP, _SLICE).orderBy(sort).rowsBetween(
         Window.unboundedPreceding, 0
     )
-    local = sliced.withColumns({f"__{m}_in": F.sum(m).over(inside) for m in measures})
-    return local.join(offsets, [_GROUP, _SLICE]).select(
+    local = sliced.join(offsets, [_GROUP, _SLICE]).withColumns(
+        {f"__{m}_in": F.sum(m).over(inside) for m in measures}
+    )
+    return local.select(
         *keys,
         order,
         *measures,
@@ -77,6 +98,24 @@ def running_totals(
     )
 
 
+def running_totals(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    measures: Mapping[str, Column],
+    descending: bool = False,
+) -> DataFrame:
+    """One row per (keys, order) with totals so far and overall.
+
+    ``measures`` maps a name to an aggregate such as ``F.count("*")`` or
+    ``F.sum("label")``. For each measure ``m`` the result holds ``m`` (this
+    row), ``m_upto`` (this and all earlier rows of the group) and ``m_all``.
+    """
+    aggregates = [expr.alias(name) for name, expr in measures.items()]
+    cells = df.groupBy(*keys, order).agg(*aggregates)
+    return _running(cells, list(keys), order, list(measures), descending)
+
+
 def _rank_pair(p: float, n: Column, mode: str) -> tuple[Column, Column, Column]:
     """Zero-based ranks around quantile ``p`` of ``n`` values and their weight."""
     last = n - 1
@@ -108,25 +147,65 @@ def quantiles(
     the value at the closest rank.
     """
     keys = list(keys)
-    cells = running_totals(
-        df.where(F.col(column).isNotNull()), keys, column, {"__n": F.count("*")}
+    counts = df.where(F.col(column).isNotNull()).groupBy(*keys, column).agg(
+        F.count("*").alias("n")
     )
+    ranks = [_rank_pair(p, F.col("n_all"), mode) for p in probabilities.values()]
+    # Only slices that hold a wanted rank are sorted.
+    first, end = F.col("__n_before"), F.col("__n_before") + F.col("__n_slice")
+    wanted = F.lit(False)
+    for low, high, _ in ranks:
+        wanted = wanted | ((low >= first) & (low < end)) | ((high >= first) & (high < end))
+    cells = _running(counts, keys, column, ["n"], False, wanted)
+    before = F.col("n_upto") - F.col("n")
     picked, final = [], []
-    for i, (name, p) in enumerate(probabilities.items()):
-        low, high, weight = _rank_pair(p, F.col("__n_all"), mode)
-        before = F.col("__n_upto") - F.col("__n")
+    for i, (name, (low, high, weight)) in enumerate(zip(probabilities, ranks)):
         for tag, rank in (("lo", low), ("hi", high)):
-            here = (before <= rank) & (rank < F.col("__n_upto"))
+            here = (before <= rank) & (rank < F.col("n_upto"))
             picked.append(F.max(F.when(here, F.col(column))).alias(f"__{tag}{i}"))
         picked.append(F.max(weight).alias(f"__w{i}"))
         lo, hi, w = F.col(f"__lo{i}"), F.col(f"__hi{i}"), F.col(f"__w{i}")
-        if mode == "linear":
-            final.append((lo + (hi - lo) * w).alias(name))
-        else:
-            final.append(lo.alias(name))
+        final.append((lo + (hi - lo) * w if mode == "linear" else lo).alias(name))
     return cells.groupBy(*keys).agg(*picked).select(*keys, *final)
 
 
+def nested_quantiles(
+    df: DataFrame, column: str, outer: float, inner: float, mode: str, closed: bool
+) -> tuple:
+    """A quantile of the whole column, and one of the values before it.
+
+    Values equal to the first limit belong to the part before it when
+    ``closed``. The column is counted once for both.
+    """
+    counts = staged(
+        df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("__rows"))
+    )
+
+    def limit(part: DataFrame, p: float):
+        return _weighted_quantile(part, column, "__rows", p, mode)
+
+    first = limit(counts, outer)
+    if first is None:
+        return None, None
+    earlier = F.col(column) <= F.lit(first) if closed else F.col(column) < F.lit(first)
+    return first, limit(counts.where(earlier), inner)
+
+
+def _weighted_quantile(counts: DataFrame, column: str, rows: str, p: float, mode: str):
+    """Quantile of values given with their number of rows."""
+    cells = running_totals(counts, [], column, {"n": F.sum(rows)})
+    low, high, weight = _rank_pair(p, F.col("n_all"), mode)
+    before = F.col("n_upto") - F.col("n")
+    row = cells.agg(
+        F.max(F.when((before <= low) & (low < F.col("n_upto")), F.col(column))).alias("lo"),
+        F.max(F.when((before <= high) & (high < F.col("n_upto")), F.col(column))).alias("hi"),
+        F.max(weight).alias("w"),
+    ).first()
+    if row["lo"] is None or mode != "linear":
+        return row["lo"]
+    return row["lo"] + (row["hi"] - row["lo"]) * row["w"]
+
+
 def approximate_quantiles(
     df: DataFrame,
     column: str,

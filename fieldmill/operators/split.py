@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import portable_hash
 from .joins import members, non_members
-from .ordered import running_totals, scalar_quantile
+from .ordered import nested_quantiles, running_totals, scalar_quantile
 
 BUCKETS = 10_000
 
@@ -146,11 +146,11 @@ def time_split(
     def later(limit) -> Column:
         return time >= F.lit(limit) if boundary_in_test else time > F.lit(limit)
 
-    test_limit = scalar_quantile(df, column, 1 - test_size, mode)
+    test_limit, val_limit = nested_quantiles(
+        df, column, 1 - test_size, 1 - val_size, mode, closed=not boundary_in_test
+    )
     if test_limit is None:
-        return df.withColumn("split", F.lit("train"))
-    rest = df.where(~later(test_limit))
-    val_limit = scalar_quantile(rest, column, 1 - val_size, mode)
+        return df.where(time.isNotNull()).withColumn("split", F.lit("train"))
     name = F.when(later(test_limit), "test")
     if val_limit is not None:
         name = name.when(later(val_limit), "val")

@@ -10,9 +10,8 @@ every window, for all N at once, with two small rows per sighting.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _DAY = "__day"
@@ -42,35 +41,31 @@ def trailing_table(
         F.max(metric).alias("__max"),
     )
     following = F.lead(_DAY).over(Window.partitionBy(*keys, id_col).orderBy(_DAY))
-    spans = sightings.select(*keys, _DAY, following.alias("__next"))
-
-    no_change = {f"__d{p}": F.lit(0) for p in periods}
-    activity = sightings.select(
-        *keys, _DAY, "__n", "__sum", "__max", F.lit(1).alias("__active"),
-        *(v.alias(k) for k, v in no_change.items()),
-    )
-    blank = [
-        F.lit(None).cast("bigint").alias("__n"),
-        F.lit(None).cast("double").alias("__sum"),
-        F.lit(None).cast(df.schema[metric].dataType).alias("__max"),
-        F.lit(0).alias("__active"),
+    spans = sightings.withColumn("__next", following)
+    # One sighting becomes its own activity, one start, and one end per period.
+    blank = {
+        "__n": F.lit(None).cast("bigint"),
+        "__sum": F.lit(None).cast(spans.schema["__sum"].dataType),
+        "__max": F.lit(None).cast(spans.schema["__max"].dataType),
+        "__active": F.lit(None).cast("int"),
+    }
+
+    def entry(at: Column, changes: dict, **activity) -> Column:
+        values = {**blank, **{f"__d{p}": F.lit(changes.get(p, 0)) for p in periods}, **activity}
+        return F.struct(at.alias(_DAY), *(v.alias(k) for k, v in values.items()))
+
+    here, coming = F.col(_DAY), F.col("__next")
+    entries = [
+        entry(here, {}, __n=F.col("__n"), __sum=F.col("__sum"), __max=F.col("__max"),
+              __active=F.lit(1)),
+        entry(here + 1, {p: 1 for p in periods}),
     ]
-    changes = []
-    starts = spans.select(
-        *keys, (F.col(_DAY) + 1).alias(_DAY), *blank,
-        *(F.lit(1).alias(f"__d{p}") for p in periods),
-    )
-    changes.append(starts)
     for p in periods:
-        last = F.least(F.col(_DAY) + p, F.coalesce(F.col("__next"), F.col(_DAY) + p))
-        changes.append(
-            spans.select(
-                *keys, (last + 1).alias(_DAY), *blank,
-                *(F.lit(-1 if q == p else 0).alias(f"__d{q}") for q in periods),
-            )
-        )
+        last = F.least(here + p, F.coalesce(coming, here + p))
+        entries.append(entry(last + 1, {p: -1}))
     calendar = (
-        reduce(DataFrame.unionByName, changes, activity)
+        spans.select(*keys, F.explode(F.array(*entries)).alias("__e"))
+        .select(*keys, "__e.*")
         .groupBy(*keys, _DAY)
         .agg(
             F.sum("__n").alias("__n"),
@@ -80,23 +75,25 @@ def trailing_table(
             *(F.sum(f"__d{p}").alias(f"__d{p}") for p in periods),
         )
     )
-    # At most one row per calendar day and key: the window stays small.
+    # At most one row per calendar day and key: the windows stay small. Both use
+    # the same partitions and order, so the second needs no shuffle and no sort;
+    # its moving frames see active days only.
     ordered = Window.partitionBy(*keys).orderBy(_DAY)
-    upto = ordered.rangeBetween(Window.unboundedPreceding, 0)
-    features = {}
+    upto = ordered.rowsBetween(Window.unboundedPreceding, 0)
+    present = {names["distinct"].format(n=p): F.sum(f"__d{p}").over(upto) for p in periods}
+    moving = {}
     for p in periods:
         frame = ordered.rangeBetween(-p, -1)
-        features[names["distinct"].format(n=p)] = F.sum(f"__d{p}").over(upto)
-        features[names["max"].format(n=p)] = F.coalesce(
-            F.max("__max").over(frame), F.lit(0)
-        )
-        features[names["mean"].format(n=p)] = F.coalesce(
+        moving[names["max"].format(n=p)] = F.coalesce(F.max("__max").over(frame), F.lit(0))
+        moving[names["mean"].format(n=p)] = F.coalesce(
             F.try_divide(F.sum("__sum").over(frame), F.sum("__n").over(frame)),
             F.lit(0.0),
         )
+    features = [names[k].format(n=p) for p in periods for k in ("distinct", "max", "mean")]
     return (
-        calendar.withColumns(features)
+        calendar.withColumns(present)
         .where("__active = 1")
+        .withColumns(moving)
         .select(*keys, F.date_from_unix_date(_DAY).alias(day), *features)
     )
 
