@@ -251,7 +251,7 @@ _DEGREE_NAMES = ("global_source_degrees", "global_dest_degrees", "local_source_d
     + " FROM deg GROUP BY 1) SELECT n_connections, n_unique_nodes, stats.* FROM sizes JOIN stats ON sizes._id = stats._id",
 )
 def full_graph_features(t: Tables) -> DataFrame:
-    out = graph_features(degrees(edges(t)))
+    out = graph_features(edges(t), featured=degrees(edges(t)))
     floats = [f"{k}_{f}" for f in _DEGREE_NAMES for k in ("avg", "std")]
     return rounded(out, *floats)
 

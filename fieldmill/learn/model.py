@@ -19,6 +19,8 @@ from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import kept
+
 INDEX_SUFFIX = "_ind"
 FEATURES = "features"
 
@@ -80,11 +82,23 @@ def fit_pipeline(
 ) -> PipelineModel:
     """Fit the encoders, then the learner on the encoded rows."""
     encoder = Pipeline(stages=feature_stages(numeric, categorical, invalid)).fit(train)
-    encoded = encoder.transform(train)
-    fitted = learner.fit(encoded, {learner.maxBins: bins_for(encoder, learner)})
+    # Tree learners pass over their input several times before they cache a form
+    # of their own, so the encoded rows are kept meanwhile.
+    encoded = kept(encoder.transform(train).select(*_columns_of(learner)))
+    try:
+        fitted = learner.fit(encoded, {learner.maxBins: bins_for(encoder, learner)})
+    finally:
+        encoded.unpersist()
     return PipelineModel(stages=[*encoder.stages, fitted])
 
 
+def _columns_of(learner) -> list[str]:
+    """Input columns of a learner: features, label and optional extras."""
+    names = ("featuresCol", "labelCol", "weightCol", "validationIndicatorCol")
+    present = [learner.getParam(n) for n in names if learner.hasParam(n)]
+    return [learner.getOrDefault(p) for p in present if learner.isDefined(p)]
+
+
 def bins_for(encoder: PipelineModel, learner) -> int:
     """Split candidates per column: at least one for each level of a category."""
     sizes = [

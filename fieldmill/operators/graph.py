@@ -42,13 +42,20 @@ def graph_sizes(edges: DataFrame, by: str = "_id", source: str = "from", target:
 
 def graph_features(
     edges: DataFrame, node_features: Sequence[str] = DEGREES, by: str = "_id",
-    source: str = "from", target: str = "to",
+    source: str = "from", target: str = "to", featured: DataFrame | None = None,
 ) -> DataFrame:
-    """Graph sizes, joined with node statistics when there are node features."""
+    """Graph sizes, joined with node statistics when there are node features.
+
+    The two parts read the edges separately: sizes need a narrow shuffle by
+    (graph, node), statistics only partial sums per graph. ``featured`` names
+    the frame with the features if they were derived from ``edges``, so that
+    the sizes do not derive them again.
+    """
     sizes = graph_sizes(edges, by, source, target)
     if not node_features:
         return sizes
-    return sizes.join(node_statistics(edges, node_features, by), by)
+    source_rows = featured if featured is not None else edges
+    return sizes.join(node_statistics(source_rows, node_features, by), by)
 
 
 def degrees(edges: DataFrame, by: str = "_id", source: str = "from", target: str = "to") -> DataFrame:

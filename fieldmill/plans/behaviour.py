@@ -43,9 +43,9 @@ def cleaned_calls(calls: DataFrame, required: str, label: str = "classification"
 
 def feature_table(calls: DataFrame, edges: DataFrame, features: Sequence[str] = DEGREES) -> DataFrame:
     """Behaviour rows joined with the features of their call graph."""
-    if features and not set(features) <= set(edges.columns):
-        edges = degrees(edges)
-    return calls.join(graph_features(edges, features), "_id")
+    known = set(features) <= set(edges.columns)
+    featured = edges if known else degrees(edges)
+    return calls.join(graph_features(edges, features, featured=featured), "_id")
 
 
 def run(
