@@ -37,12 +37,19 @@ def _over(key: str, minutes: int) -> str:
 
 @register(
     "e1_window_frame",
-    f"WITH {SEC_SQL} SELECT event_id, count(event_id) {_over('event_type', 2)} AS n FROM ev",
+    f"WITH {SEC_SQL}, c AS (SELECT user_id, sec, count(*) AS rows FROM ev GROUP BY 1, 2) "
+    f"SELECT user_id, sec, rows, CAST(sum(rows) {_over('user_id', 720)} AS BIGINT) AS earlier FROM c",
 )
 def window_frame(t: Tables) -> DataFrame:
-    """Plain window expression, for few rows per key."""
-    return t.events.select(
-        "event_id", lookback("event_id", 2, key="event_type", time_col="ts").alias("n")
+    """The window expression itself, over one row per key and second."""
+    per_second = t.events.groupBy(
+        "user_id", F.date_trunc("second", "ts").alias("dt")
+    ).agg(F.count("*").alias("rows"))
+    return per_second.select(
+        "user_id",
+        F.unix_seconds("dt").alias("sec"),
+        "rows",
+        lookback("rows", 720, "sum", key="user_id").alias("earlier"),
     )
 
 

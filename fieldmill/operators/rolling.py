@@ -53,9 +53,9 @@ def lookback(
     column: str, minutes: int, operation: str = "count", key: str | None = None,
     time_col: str = "dt",
 ) -> Column:
-    """Window expression for keys that are known to stay small.
+    """Window expression, for tables with one row per key and second.
 
-    Prefer :func:`add_rolling` where any key may hold a large share of the rows.
+    On raw rows use :func:`add_rolling`, which copes with keys of any size.
     """
     spec = Rolling("_", column, minutes, operation, key)
     aggregate = {"count": F.count, "sum": F.sum, "avg": F.avg}[spec.operation]

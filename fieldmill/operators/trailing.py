@@ -118,9 +118,16 @@ def add_trailing(
     metric: str,
     names: dict[str, str],
     key: str | None = None,
+    source: DataFrame | None = None,
 ) -> DataFrame:
-    """Attach :func:`trailing_table` to every row; the row count never changes."""
-    table = trailing_table(df, day, periods, id_col, metric, names, key)
+    """Attach :func:`trailing_table` to every row; the row count never changes.
+
+    ``source`` names the frame to compute the features from when ``df`` is that
+    frame with further columns joined on, so that those joins are not repeated.
+    """
+    table = trailing_table(
+        source if source is not None else df, day, periods, id_col, metric, names, key
+    )
     keys = [key] if key else []
     slot = F.struct(*keys, F.to_date(day).alias("day"))
     features = [c for c in table.columns if c not in (*keys, day)]

@@ -12,6 +12,7 @@ from ..functions.numbers import basic_features
 from ..operators.joins import mapped
 from ..operators.profile import lifecycle
 from ..operators.trailing import CHANNEL_NAMES, GENERAL_NAMES, add_trailing
+from ..session import staged
 
 
 @dataclass
@@ -26,24 +27,25 @@ class TrendingSettings:
 
 
 def run(rows: DataFrame, categories: DataFrame | None, s: TrendingSettings) -> DataFrame:
-    """The lazy chain; the caller's write is the only action."""
+    """One row per video with trailing features per channel and overall.
+
+    The lifecycle table is read three times, each time in other columns, so it is
+    written once; everything after it is lazy.
+    """
     df = rows
     if s.date_column_format:
         df = df.withColumns(parsed_dates(s.date_column_format))
     if categories is not None:
         df = mapped(df, "category_id", categories, "id", "title")
-    return (
-        df.transform(basic_features, s.ratio_features, s.difference_features, s.date_features)
-        .transform(
+    videos = staged(
+        df.transform(
+            basic_features, s.ratio_features, s.difference_features, s.date_features
+        ).transform(
             lifecycle, "video_id", "trending_date", "days_to_trending",
             s.max_time_to_trending, s.base_columns,
         )
-        .transform(
-            add_trailing, "first_day_in_trending", s.aggregate_windows, "video_id",
-            "days_in_trending", CHANNEL_NAMES, "channel_title",
-        )
-        .transform(
-            add_trailing, "first_day_in_trending", s.aggregate_windows, "video_id",
-            "days_in_trending", GENERAL_NAMES,
-        )
     )
+    trailing = ("first_day_in_trending", s.aggregate_windows, "video_id", "days_in_trending")
+    return videos.transform(
+        add_trailing, *trailing, CHANNEL_NAMES, "channel_title", source=videos
+    ).transform(add_trailing, *trailing, GENERAL_NAMES, source=videos)
