@@ -28,6 +28,7 @@ _NETWORK = network.NetworkSettings(
         "orig_ip_bytes": -999999, "proto": "missing", "service": "missing",
         "conn_state": "missing", "history": "missing",
     },
+    row_id="uid",
     windows=[
         Rolling("source_ip_count_last_30_mins", "source_ip", 30),
         Rolling("source_port_count_last_30_mins", "source_port", 30),

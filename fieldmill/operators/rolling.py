@@ -66,8 +66,24 @@ def epoch_seconds(time_col: str) -> Column:
     return F.unix_seconds(F.col(time_col).cast("timestamp"))
 
 
-def add_rolling(df: DataFrame, specs: Sequence[Rolling], time_col: str = "dt") -> DataFrame:
-    """Add every look-back column of ``specs``, one pass per distinct key."""
+def add_rolling(
+    df: DataFrame,
+    specs: Sequence[Rolling],
+    time_col: str = "dt",
+    row_id: str | None = None,
+) -> DataFrame:
+    """Add every look-back column of ``specs``, one pass per distinct key.
+
+    Each key shuffles the rows once. For wide rows name a unique ``row_id``:
+    then only that column and the keys travel, and the rest of the row moves
+    once, in the final join.
+    """
+    names = [s.name for s in specs]
+    if row_id is not None:
+        keys = dict.fromkeys([s.partition_key for s in specs] + [s.column for s in specs])
+        narrow = df.select(*dict.fromkeys([row_id, *keys, time_col]))
+        features = add_rolling(narrow, specs, time_col).select(row_id, *names)
+        return df.join(features, row_id).select(*df.columns, *names)
     by_key: dict[str, list[Rolling]] = {}
     for spec in specs:
         by_key.setdefault(spec.partition_key, []).append(spec)
@@ -81,7 +97,7 @@ def add_rolling(df: DataFrame, specs: Sequence[Rolling], time_col: str = "dt") -
             .join(features, "__slot", "left")
             .drop("__slot")
         )
-    return out.select(*df.columns, *(s.name for s in specs))
+    return out.select(*df.columns, *names)
 
 
 def _per_second_features(

@@ -37,6 +37,7 @@ class NetworkSettings:
     windows: Sequence[Rolling | Mapping] = ()
     filepaths: Sequence[str] = ()
     model_output_path: str | None = None
+    row_id: str | None = None
     random_split: bool = False
     tuning_rounds: int = 0
     min_level_count: int = 100
@@ -71,7 +72,7 @@ def feature_table(raw: DataFrame, s: NetworkSettings) -> tuple[DataFrame, list[s
     if categorical:
         df = LevelFilter(categorical, min_count=s.min_level_count).fit(df).transform(df)
     specs = s.rolling()
-    df = add_rolling(df, specs, "dt")
+    df = add_rolling(df, specs, "dt", s.row_id)
     # No earlier traffic in the window: averages and sums take the same fill as
     # other missing numbers, so that no row is lost in assembly.
     open_ended = [w.name for w in specs if w.operation != "count"]

@@ -12,6 +12,7 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 SMALL_KEY = "fieldmill.smallTableBytes"
 SMALL_BYTES = 64 << 20
 SPREAD_BYTES = 256 << 20
+_STAGED: list[str] = []
 
 
 def build_session(
@@ -72,9 +73,20 @@ def staged(df: DataFrame) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, "staged")
     df.write.parquet(path)
+    _STAGED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release_staged(spark: SparkSession) -> int:
+    """Delete the tables staged by this process, once no frame needs them."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    removed = 0
+    while _STAGED:
+        path = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        removed += path.getFileSystem(conf).delete(path, True)
+    return removed
+
+
 def planned_bytes(df: DataFrame) -> int:
     """Estimated bytes of the tables ``df`` is made from.
 

@@ -108,5 +108,14 @@ def test_null_key_and_null_time_keep_rows(spark):
     assert got == plain and len(got) == 3
 
 
+def test_narrow_rows_give_the_same(spark):
+    rows = [(i, f"k{i % 3}", "x", 1000 + 7 * i, float(i)) for i in range(60)]
+    specs = [Rolling("n", "k", 1), Rolling("m", "v", 2, "avg", "other")]
+    whole = add_rolling(frame(spark, rows), specs)
+    narrow = add_rolling(frame(spark, rows), specs, row_id="id")
+    assert narrow.columns == whole.columns
+    assert sorted(whole.collect()) == sorted(narrow.collect())
+
+
 def test_empty(spark):
     assert add_rolling(frame(spark, []), [Rolling("n", "k", 1)]).count() == 0
