@@ -158,14 +158,21 @@ def quantiles(
         wanted = wanted | ((low >= first) & (low < end)) | ((high >= first) & (high < end))
     cells = _running(counts, keys, column, ["n"], False, wanted)
     before = F.col("n_upto") - F.col("n")
-    picked, final = [], []
-    for i, (name, (low, high, weight)) in enumerate(zip(probabilities, ranks)):
-        for tag, rank in (("lo", low), ("hi", high)):
-            here = (before <= rank) & (rank < F.col("n_upto"))
-            picked.append(F.max(F.when(here, F.col(column))).alias(f"__{tag}{i}"))
-        picked.append(F.max(weight).alias(f"__w{i}"))
-        lo, hi, w = F.col(f"__lo{i}"), F.col(f"__hi{i}"), F.col(f"__w{i}")
-        final.append((lo + (hi - lo) * w if mode == "linear" else lo).alias(name))
+
+    def value_at(rank: Column, name: str) -> Column:
+        here = (before <= rank) & (rank < F.col("n_upto"))
+        return F.max(F.when(here, F.col(column))).alias(name)
+
+    picked, final = [F.max("n_all").alias("__n_all")], []
+    for i, (name, p) in enumerate(probabilities.items()):
+        low, high, _ = ranks[i]
+        picked.append(value_at(low, f"__lo{i}"))
+        result = F.col(f"__lo{i}")
+        if mode == "linear":
+            picked.append(value_at(high, f"__hi{i}"))
+            weight = _rank_pair(p, F.col("__n_all"), mode)[2]
+            result = result + (F.col(f"__hi{i}") - result) * weight
+        final.append(result.alias(name))
     return cells.groupBy(*keys).agg(*picked).select(*keys, *final)
 
 

@@ -88,9 +88,11 @@ def add_rolling(
     for spec in specs:
         by_key.setdefault(spec.partition_key, []).append(spec)
     second = "__second"
-    out = df.withColumn(second, epoch_seconds(time_col))
+    timed = df.withColumn(second, epoch_seconds(time_col))
+    out = timed
     for key, group in by_key.items():
-        features = _per_second_features(out, key, second, group)
+        # from the plain rows, not from rows that already carry other features
+        features = _per_second_features(timed, key, second, group)
         slot = F.struct(F.col(key), F.col(second))
         out = (
             out.withColumn("__slot", slot)

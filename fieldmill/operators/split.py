@@ -139,7 +139,8 @@ def time_split(
     """Nested split along an ordered column at its quantiles.
 
     With ``boundary_in_test`` rows equal to a limit go to the later part (``<``
-    and ``>=``), otherwise to the earlier one (``<=`` and ``>``).
+    and ``>=``), otherwise to the earlier one (``<=`` and ``>``). Rows without a
+    time are left out.
     """
     time = F.col(column)
 

@@ -47,7 +47,7 @@ def test_running_totals_sliced(spark, sliced, descending):
 
 
 def check_quantiles(rows, df):
-    probs = {f"p{i}": i / 20 for i in range(21)}
+    probs = {f"p{i}": i / 20 for i in (0, 1, 5, 10, 14, 19, 20)}
     for mode in ("linear", "discrete", "nearest"):
         for r in quantiles(df, "v", probs, ["k"], mode).collect():
             values = sorted(q[1] for q in rows if q[0] == r["k"] and q[1] is not None)
