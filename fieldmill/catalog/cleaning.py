@@ -92,7 +92,13 @@ def zero_variance(t: Tables) -> DataFrame:
     return without_zero_variance(gaps(t))
 
 
-@register("j7_string_index")
+@register(
+    "j7_string_index",
+    f"""WITH {LOG_SQL}, p AS (SELECT proto, row_number() OVER (ORDER BY count(*) DESC, proto) - 1 AS i FROM log GROUP BY 1),
+    s AS (SELECT service, row_number() OVER (ORDER BY count(*) DESC, service) - 1 AS i FROM log GROUP BY 1)
+    SELECT uid, CAST(p.i AS DOUBLE) AS proto_ind, CAST(s.i AS DOUBLE) AS service_ind FROM log
+    JOIN p ON log.proto = p.proto JOIN s ON log.service = s.service""",
+)
 def string_index(t: Tables) -> DataFrame:
     df = log(t).select("uid", "proto", "service", "orig_ip_bytes")
     index = feature_stages(["orig_ip_bytes"], ["proto", "service"])[0]
@@ -191,7 +197,10 @@ def standard_scores(t: Tables) -> DataFrame:
     return rounded(out.select("l_orderkey", "l_linenumber", "l_partkey", *cols), *cols)
 
 
-@register("j12_assembled_rows")
+@register(
+    "j12_assembled_rows",
+    f"WITH {GAPS_SQL} SELECT event_id, value + whole AS total FROM gaps WHERE value IS NOT NULL AND whole IS NOT NULL",
+)
 def assembled(t: Tables) -> DataFrame:
     """Rows that survive assembly; rows with nulls are skipped."""
     from pyspark.ml.functions import vector_to_array

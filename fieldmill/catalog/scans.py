@@ -15,7 +15,7 @@ from ..sources.readers import (
 )
 from ..sources.writers import write_columnar, write_corpus, write_delimited
 from .base import Tables, moment, register, rounded
-from .standins import LOG_SQL, log, mails
+from .standins import LOG_SQL, MAILS_SQL, log, mails
 
 
 @register(
@@ -91,7 +91,7 @@ def category_lookup(t: Tables) -> DataFrame:
     return read_categories(t.spark, path)
 
 
-@register("a8_corpus_scan")
+@register("a8_corpus_scan", f"WITH {MAILS_SQL} SELECT emails FROM mails")
 def corpus_scan(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "corpus")
     write_corpus(mails(t), "emails", path)

@@ -331,7 +331,12 @@ def zip_coordinates(t: Tables) -> DataFrame:
     )
 
 
-@register("c3_pinned_split_sizes")
+@register(
+    "c3_pinned_split_sizes",
+    """WITH d AS (SELECT user_id, CAST('0x' || substr(md5('200:' || CAST(user_id AS VARCHAR)), 1, 8) AS BIGINT) % 10000 AS draw FROM events)
+    SELECT CASE WHEN user_id IN (1, 2) THEN 'train' WHEN user_id IN (3, 4) THEN 'test' WHEN draw < 8000 THEN 'train' ELSE 'test' END AS split,
+    count(*) AS n, count(DISTINCT user_id) AS users FROM d GROUP BY 1""",
+)
 def pinned_split_sizes(t: Tables) -> DataFrame:
     train, test = pinned_entity_split(t.events, "user_id", [1, 2], [3, 4])
     return (

@@ -75,9 +75,10 @@ def stable_hash(*columns: str) -> Column:
     return F.xxhash64(*[F.col(c).cast("string") for c in columns])
 
 
-def portable_hash(column: str) -> Column:
+def portable_hash(column: str, salt: str = "") -> Column:
     """32-bit hash (first 8 hex digits of MD5) that any SQL engine can repeat."""
-    return F.conv(F.substring(F.md5(F.col(column).cast("string")), 1, 8), 16, 10).cast("long")
+    text = F.concat(F.lit(salt), F.col(column).cast("string"))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
 
 
 def numeric_columns(df: DataFrame) -> list[str]:

@@ -115,7 +115,7 @@ def pinned_entity_split(
     the sample is decided by a seeded hash, so it is the same in every re-run.
     """
     pins = [*train_pins, *test_pins]
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.col(entity)), F.lit(BUCKETS))
+    draw = F.pmod(portable_hash(entity, f"{seed}:"), F.lit(BUCKETS))
     sampled = (
         df.where(~F.col(entity).isin(*pins) if pins else F.lit(True))
         .select(entity)
