@@ -5,24 +5,83 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import neardup
+from . import decontam, neardup, packing
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontam.contamination(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(table(spark, folder, "documents"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = neardup.near_duplicates(table(spark, folder, "documents"), width=4)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_benchmark_decontamination": op7_benchmark_decontamination,
+    "op9_best_fit_packing": op9_best_fit_packing,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op7_benchmark_decontamination": r"""
+WITH docs AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), items AS (
+    SELECT item_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+), grams AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS width,
+           array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS g
+    FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i
+          FROM items WHERE len(w) > 0)
+), spots AS (
+    SELECT doc_id, i, width, array_to_string(w[i:i + width - 1], ' ') AS g
+    FROM (SELECT d.doc_id, d.w, x.width, unnest(range(1, len(d.w) - x.width + 2)) AS i
+          FROM docs d, (SELECT DISTINCT width FROM grams) x)
+), hits AS (
+    SELECT s.doc_id, s.i, s.width, g.item_id
+    FROM spots s JOIN grams g ON s.g = g.g
+), covered AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + width)) AS p FROM hits) GROUP BY doc_id
+), found AS (
+    SELECT doc_id, count(DISTINCT item_id) AS n_items,
+           string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+    FROM hits GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words,
+       CAST(coalesce(c.n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(f.n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(f.ids, '')) AS items_sha256,
+       coalesce(c.n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN covered c USING (doc_id) LEFT JOIN found f USING (doc_id)
+""",
     "op10_minhash_near_dedup": r"""
 WITH RECURSIVE words AS (
     SELECT doc_id, regexp_extract_all(
