@@ -57,24 +57,22 @@ def row_blocks(offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         row = end
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray):
-    """Starts and ends of maximal runs of bytes marked in ``inside`` (256 flags).
+def word_spans(data: np.ndarray, offsets: np.ndarray, kinds: np.ndarray):
+    """Starts and ends of maximal runs of bytes of one kind (0: between runs).
 
+    ``kinds`` gives the kind of each of the 256 byte values; flags serve as well.
     Returns (starts, ends, first): row r has the words first[r] to first[r + 1].
     """
     if not len(data):
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(len(offsets), np.int64)
-    marked = inside[data]
-    opens, closes = marked.copy(), marked.copy()
-    opens[1:] &= ~marked[:-1]
-    closes[:-1] &= ~marked[1:]
-    inner = offsets[1:-1]
-    inner = inner[(inner > 0) & (inner < len(data))]
-    opens[inner] = marked[inner]
-    closes[inner - 1] = marked[inner - 1]
-    starts = np.flatnonzero(opens)
-    return starts, np.flatnonzero(closes) + 1, np.searchsorted(starts, offsets)
+    kind = kinds[data]
+    inside = kind > 0
+    change = np.ones(len(data) + 1, bool)
+    np.not_equal(kind[1:], kind[:-1], out=change[1:-1])
+    change[offsets] = True
+    starts = np.flatnonzero(inside & change[:-1])
+    return starts, np.flatnonzero(inside & change[1:]) + 1, np.searchsorted(starts, offsets)
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -138,5 +136,13 @@ def byte_flags(pattern: str) -> np.ndarray:
     return np.array([rule.fullmatch(bytes([b])) is not None for b in range(256)])
 
 
+def word_and_symbol_kinds() -> np.ndarray:
+    """Kind 1: letters, digits and all non-ASCII bytes; kind 2: ASCII symbols."""
+    word, symbol = byte_flags(r"[0-9A-Za-z]"), byte_flags(r"[!-/:-@\[-`{-~]")
+    out = np.where(word, 1, np.where(symbol, 2, 0)).astype(np.uint8)
+    out[128:] = 1
+    return out
+
+
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 SPACED = byte_flags(r"[^\x20\x09-\x0D]")

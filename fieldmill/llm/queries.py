@@ -7,13 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, neardup, packing
+from . import decontam, langid, neardup, packing
+from .common import fold
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    models = langid.train(docs.where(~held_out))
+    found = langid.identify(docs, models)
+    return found.select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "loss", "rejected"
+    )
+
+
 def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontam.contamination(
         table(spark, folder, "documents"), table(spark, folder, "benchmark")
@@ -38,6 +49,7 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_language_id": op6_language_id,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
