@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, neardup, packing
+from . import decontam, langid, neardup, packing, quality
 from .common import fold
 
 
@@ -15,6 +15,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    model = quality.train(docs, table(spark, folder, "labels"), ~held_out)
+    return quality.score(docs, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     held_out = fold(F.col("doc_id"), 4) == 2
@@ -49,6 +61,7 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_quality_classifier": op3_quality_classifier,
     "op6_language_id": op6_language_id,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op9_best_fit_packing": op9_best_fit_packing,
