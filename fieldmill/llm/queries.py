@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, neardup, packing, quality
+from . import decontam, langid, neardup, packing, quality, toxicity
 from .common import fold
 
 
@@ -27,6 +27,19 @@ def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    model = toxicity.train(docs, table(spark, folder, "labels"), ~held_out)
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "evidence",
+    )
+
+
 def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     held_out = fold(F.col("doc_id"), 4) == 2
@@ -62,6 +75,7 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_toxicity": op4_toxicity,
     "op6_language_id": op6_language_id,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op9_best_fit_packing": op9_best_fit_packing,
