@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, neardup, packing, quality, sharding, toxicity
+from . import chat, decontam, fingerprint, langid, neardup, packing, quality, sharding, toxicity
 from .common import fold
 
 
@@ -100,6 +100,10 @@ def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     )
 
 
+def op8_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, folder, "documents"))
+
+
 def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"))
 
@@ -116,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_jump_sharding": op5_jump_sharding,
     "op6_language_id": op6_language_id,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
+    "op8_document_fingerprints": op8_document_fingerprints,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
