@@ -18,8 +18,9 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLES = 64
+SAMPLES = 32
 DRAWS = 4096
+TOGETHER = 8  # samples of one aggregation row; more make a method too long to compile
 RANGE_ROWS = 500
 MOST_RANGES = 4096
 
@@ -44,20 +45,16 @@ def _table(values: list[float]) -> Column:
     return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
 
 
-def sample_code(term: str, log_weight: str, sample: int) -> Column:
-    """The logarithm that a term enters a sample with.
+def sample_code(slot: int) -> Column:
+    """The logarithm that a term enters sample ``_g * TOGETHER + slot`` with.
 
     It depends on the term, the sample and t alone, so the smallest one names (term, t).
-    The condition keeps the planner from hoisting the parts of all samples into one
-    method, which would be too long to be compiled.
     """
-    h = f"xxhash64({term}, {sample})"
+    h = f"xxhash64(term, _g, {slot})"
     r = f"gammas[CAST({h} & {DRAWS - 1}L AS INT)]"
     log_c = f"logs[CAST(shiftright({h}, 12) & {DRAWS - 1}L AS INT)]"
     b = f"((shiftright({h}, 24) & 1048575L) / 1048576D)"
-    return F.expr(
-        f"IF({term} IS NULL, NULL, {log_c} - {r} * (floor({log_weight} / {r} + {b}) - {b} + 1))"
-    )
+    return F.expr(f"{log_c} - {r} * (floor(log_weight / {r} + {b}) - {b} + 1)")
 
 
 def _words(df: DataFrame, text: str) -> DataFrame:
@@ -97,20 +94,25 @@ def signatures(df: DataFrame, text: str, samples: int = SAMPLES) -> DataFrame:
     """
     rest = [c for c in df.columns if c != text]
     quantiles = gamma_quantiles()
+    groups = -(-samples // TOGETHER)
     terms = weighted_terms(df, text).select(
         *rest,
         "term",
         F.ln(F.col("times").cast("double")).alias("log_weight"),
         _table(quantiles).alias("gammas"),
         _table([math.log(q) for q in quantiles]).alias("logs"),
+        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("_g"),
     )
-    codes = [F.min(sample_code("term", "log_weight", j)).alias(f"_s{j}") for j in range(samples)]
-    found = terms.groupBy(*rest).agg(*codes)
+    codes = [F.min(sample_code(k)).alias(f"_s{k}") for k in range(TOGETHER)]
+    found = terms.groupBy(*rest, "_g").agg(*codes)
     none = F.lit(0).cast("long")
     kept = [
-        F.when(F.col(f"_s{j}").isNull(), none).otherwise(F.xxhash64(f"_s{j}")) for j in range(samples)
+        F.when(F.col(f"_s{k}").isNull(), none).otherwise(F.xxhash64(f"_s{k}")) for k in range(TOGETHER)
     ]
-    return found.select(*rest, F.array(*kept).alias("signature"))
+    found = found.select(*rest, F.struct("_g", F.array(*kept).alias("codes")).alias("_c"))
+    whole = found.groupBy(*rest).agg(F.array_sort(F.collect_list("_c")).alias("_c"))
+    codes = F.slice(F.flatten(F.col("_c.codes")), 1, samples)
+    return whole.select(*rest, codes.alias("signature"))
 
 
 def likeness(one: str, two: str, samples: int = SAMPLES) -> Column:
