@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, fingerprint, langid, neardup, packing, quality, sharding, toxicity
+from . import chat, decontam, fingerprint, langid, neardup, packing, quality, sharding, toxicity, webpages
 from .common import fold
 
 
@@ -47,6 +47,11 @@ def op1_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    found = webpages.extract(table(spark, folder, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op5_jump_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.sharded(table(spark, folder, "documents"), 40)
 
@@ -115,6 +120,7 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op2_html_extraction": op2_html_extraction,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_toxicity": op4_toxicity,
     "op5_jump_sharding": op5_jump_sharding,
