@@ -14,7 +14,9 @@ from .base import Tables, as_long, day, moment, register, rounded
 from .standins import (
     EDGES_SQL,
     EVENT_SCORES_SQL,
+    GAPS,
     GAPS_SQL,
+    STATIC_SQL,
     LIFE_FEATURES,
     LIFE_SQL,
     LOANS_SQL,
@@ -53,21 +55,20 @@ def missing_counts(t: Tables) -> DataFrame:
 
 @register(
     "d5_missing_shares",
-    f"""WITH {GAPS_SQL} SELECT round(1 - count(value) / count(*), 6) AS value, round(1 - count(event_type) / count(*), 6) AS event_type,
-    round(1 - count(user_id) / count(*), 6) AS user_id FROM gaps""",
+    f"WITH {GAPS_SQL} SELECT " + ", ".join(f"round(1 - count({c}) / count(*), 6) AS {c}" for c in GAPS) + " FROM gaps",
 )
 def missing_shares(t: Tables) -> DataFrame:
-    cols = ["value", "event_type", "user_id"]
-    return rounded(P.missing_shares(gaps(t), cols), *cols)
+    df = gaps(t)
+    return rounded(P.missing_shares(df), *df.columns)
 
 
 @register(
     "d6_static_columns",
-    f"WITH {GAPS_SQL} SELECT 'fixed' AS variable FROM gaps HAVING count(DISTINCT fixed) = 1",
+    f"WITH {GAPS_SQL} " + STATIC_SQL,
 )
 def static_columns(t: Tables) -> DataFrame:
     df = gaps(t)
-    return P.static_table(df, ["value", "event_type", "whole", "fixed"])
+    return P.static_table(df, df.columns)
 
 
 @register(
@@ -343,7 +344,7 @@ def five(t: Tables) -> DataFrame:
 
 @register(
     "d29_histogram",
-    """WITH b AS (SELECT event_type, least(CAST(floor(value / 10) AS INTEGER) + 1, 20) AS bin FROM events WHERE value BETWEEN 0 AND 200)
+    """WITH b AS (SELECT event_type, CASE WHEN value < 0 THEN 0 WHEN value > 200 THEN 21 ELSE least(CAST(floor(value / 10) AS INTEGER) + 1, 20) END AS bin FROM events WHERE value IS NOT NULL)
     SELECT event_type, bin, count(*) AS count, round(count(*) / sum(count(*)) OVER (PARTITION BY event_type), 6) AS share FROM b GROUP BY 1, 2""",
 )
 def histogram(t: Tables) -> DataFrame:
@@ -353,8 +354,8 @@ def histogram(t: Tables) -> DataFrame:
 
 @register(
     "d29_log_histogram",
-    """WITH b AS (SELECT least(CAST(floor(ln(l_extendedprice) / 0.5) AS INTEGER) + 1, 28) AS bin FROM lineitem
-      WHERE l_extendedprice > 0 AND ln(l_extendedprice) BETWEEN 0 AND 14)
+    """WITH p AS (SELECT ln(l_extendedprice) AS x FROM lineitem WHERE l_extendedprice > 0),
+    b AS (SELECT CASE WHEN x < 0 THEN 0 WHEN x > 14 THEN 29 ELSE least(CAST(floor(x / 0.5) AS INTEGER) + 1, 28) END AS bin FROM p)
     SELECT bin, count(*) AS count, round(count(*) / sum(count(*)) OVER (), 6) AS share FROM b GROUP BY 1""",
 )
 def log_histogram(t: Tables) -> DataFrame:

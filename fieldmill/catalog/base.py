@@ -9,8 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import spread
-
 
 class Tables:
     """The given parquet tables by name, with zoned timestamps in UTC."""
@@ -29,11 +27,6 @@ class Tables:
         return df.withColumns({c: F.col(c).cast("timestamp") for c in plain}) if plain else df
 
 
-    def spread(self, name: str) -> DataFrame:
-        """A table whose per-row work is heavy, dealt out to all cores if small."""
-        return spread(getattr(self, name))
-
-
 @dataclass(frozen=True)
 class Entry:
     build: Callable[[Tables], DataFrame]

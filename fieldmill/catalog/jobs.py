@@ -180,7 +180,7 @@ def fraud_job(t: Tables) -> DataFrame:
     w AS (SELECT *, list_filter(string_split({_CLEAN_SQL.format(c='body')}, ' '), lambda x: length(x) > 2 AND NOT list_contains([{_STOP_SQL}], x)) AS words FROM b)
     SELECT conv_id, turn, sender_email, CAST(length(body) AS INTEGER) AS email_text_length,
     round(length(regexp_replace(body, '[^A-Z]', '', 'g')) / nullif(length(body), 0), 9) AS email_text_percent_capital,
-    CAST(len(words) AS INTEGER) AS n_tokens, md5(array_to_string(words, '|')) AS digest FROM w WHERE body IS NOT NULL""",
+    CASE WHEN body IS NOT NULL THEN CAST(len(words) AS INTEGER) END AS n_tokens, CASE WHEN body IS NOT NULL THEN md5(array_to_string(words, '|')) END AS digest FROM w""",
 )
 def mail_table(t: Tables) -> DataFrame:
     out = mails.prepared(mail_rows(t), STOPWORDS)
@@ -188,7 +188,9 @@ def mail_table(t: Tables) -> DataFrame:
         "conv_id", "turn", "sender_email", "email_text_length",
         F.round("email_text_percent_capital", 9).alias("email_text_percent_capital"),
         F.size("clean_text_tokenised").alias("n_tokens"),
-        F.md5(F.concat_ws("|", "clean_text_tokenised")).alias("digest"),
+        F.when(
+            F.col("clean_text_tokenised").isNotNull(), F.md5(F.concat_ws("|", "clean_text_tokenised"))
+        ).alias("digest"),
     )
 
 

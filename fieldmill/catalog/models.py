@@ -15,9 +15,17 @@ from .scalars import STOPWORDS
 from .standins import event_scores, loans
 
 
+LEARNER_PARTS = 8
+
+
 def _lines(t: Tables) -> DataFrame:
-    """Line items with a class (large discount) and a number to predict."""
-    return t.spread("lineitem").select(
+    """Line items with a class (large discount) and a number to predict.
+
+    Partitions and their order follow from the row ids, so that fitted results do not
+    depend on the cluster.
+    """
+    rows = t.lineitem.repartition(LEARNER_PARTS, "l_orderkey")
+    return rows.sortWithinPartitions("l_orderkey", "l_linenumber").select(
         "l_orderkey",
         "l_linenumber",
         "l_quantity",
@@ -72,7 +80,7 @@ def boosted_regressor(t: Tables) -> DataFrame:
 
 
 def _words(t: Tables) -> DataFrame:
-    words = t.spread("documents").select("doc_id", "lang", F.split(cleaned("text"), " ").alias("w"))
+    words = t.documents.select("doc_id", "lang", F.split(cleaned("text"), " ").alias("w"))
     return words.withColumn("w", kept_tokens("w", STOPWORDS))
 
 

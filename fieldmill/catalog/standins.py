@@ -186,7 +186,7 @@ def mails(t: Tables) -> DataFrame:
         .otherwise("")
     )
     status = F.when(turn % 3 == 0, "Status: RO").when(turn % 3 == 1, "Status: O").otherwise("")
-    return t.spread("conversations").select(
+    return t.conversations.select(
         "conv_id",
         "turn",
         F.concat(
@@ -292,6 +292,13 @@ gaps AS (
 )"""
 
 
+GAPS = ("event_id", "value", "event_type", "user_id", "whole", "fixed")
+# columns with one value, tested one by one
+STATIC_SQL = " UNION ALL ".join(
+    f"SELECT '{c}' AS variable FROM gaps HAVING count(DISTINCT {c}) = 1" for c in GAPS
+)
+
+
 def gaps(t: Tables) -> DataFrame:
     """Events with missing values; ``user_id`` is missing nearly everywhere."""
     e = F.col("event_id")

@@ -37,7 +37,7 @@ from ..operators.profile import (
 )
 from ..operators.split import pinned_entity_split, sampled, sampled_rows
 from .base import Tables, as_long, day, moment, register, rounded
-from .standins import GAPS_SQL, LOANS_SQL, LOG_SQL, TREND_SQL, gaps, loans, log, trend
+from .standins import GAPS_SQL, STATIC_SQL, LOANS_SQL, LOG_SQL, TREND_SQL, gaps, loans, log, trend
 
 
 @register("b1_select", "SELECT o_orderkey, o_totalprice FROM orders")
@@ -227,7 +227,7 @@ def unpivot_missing(t: Tables) -> DataFrame:
 
 @register(
     "b14_unpivot_static",
-    f"WITH {GAPS_SQL} SELECT 'fixed' AS variable FROM gaps GROUP BY fixed",
+    f"WITH {GAPS_SQL} " + STATIC_SQL,
 )
 def unpivot_static(t: Tables) -> DataFrame:
     df = gaps(t)
@@ -318,15 +318,16 @@ def dict_lookup(t: Tables) -> DataFrame:
 @register(
     "c6_coordinates",
     f"""WITH {LOANS_SQL} SELECT loan_id, n_nationkey * 1.5::DOUBLE - 20 AS longitude, n_regionkey * 10.25::DOUBLE AS latitude
-    FROM loans LEFT JOIN nation ON zip = n_nationkey AND n_nationkey < 20""",
+    FROM loans LEFT JOIN nation ON zip = n_nationkey + 5""",
 )
 def zip_coordinates(t: Tables) -> DataFrame:
-    places = t.nation.where("n_nationkey < 20").select(
-        "n_nationkey",
+    # codes below 5 have no place
+    places = t.nation.select(
+        (F.col("n_nationkey") + 5).alias("code"),
         (F.col("n_nationkey") * F.lit(1.5) - 20).alias("lon"),
         (F.col("n_regionkey") * F.lit(10.25)).alias("lat"),
     )
-    return coordinates(loans(t), "zip", places, "n_nationkey", "lon", "lat").select(
+    return coordinates(loans(t), "zip", places, "code", "lon", "lat").select(
         "loan_id", "longitude", "latitude"
     )
 

@@ -15,8 +15,6 @@ from ..operators.profile import long_form
 from ..session import staged
 
 # Map lookups in a plan are linear, so only small tables become literals.
-INLINE_WEIGHTS = 64
-MAX_CLASSES = 1_000
 
 LEVELS = T.StructType(
     [
@@ -94,18 +92,9 @@ class WoeModel(Model):
     def __init__(self, levels: DataFrame, columns: Sequence[str], invariant: Sequence[str]):
         super().__init__()
         self.levels, self.columns, self.invariant = levels, list(columns), list(invariant)
-        head = levels.take(INLINE_WEIGHTS + 1)
-        self.inline: dict[str, dict] | None = None
-        if len(head) <= INLINE_WEIGHTS:
-            self.inline = {c: {} for c in self.columns}
-            for r in head:
-                self.inline[r["variable"]][r["value"]] = r["woe"]
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         varying = [c for c in self.columns if c not in self.invariant]
-        if self.inline is not None:
-            encoded = {c: self._inline_column(c) for c in varying}
-            return dataset.withColumns(encoded).drop(*self.invariant)
         out = dataset
         for c in varying:
             known = self.levels.where(F.col("variable") == c).select(
@@ -119,16 +108,6 @@ class WoeModel(Model):
             )
         return out.select(*(c for c in dataset.columns if c not in self.invariant))
 
-    def _inline_column(self, column: str) -> Column:
-        weights = dict(self.inline[column])
-        missing = weights.pop(None, 0.0)
-        text = F.col(column).cast("string")
-        known = F.lit(0.0)
-        if weights:
-            pairs = [F.lit(x) for kv in weights.items() for x in kv]
-            known = F.coalesce(F.try_element_at(F.create_map(*pairs), text), F.lit(0.0))
-        return F.when(text.isNull(), F.lit(missing)).otherwise(known)
-
     def save_to(self, path: str) -> None:
         """Write levels and column roles as one parquet table each."""
         self.levels.write.mode("overwrite").parquet(f"{path}/levels")
@@ -187,14 +166,10 @@ def standardised(
 
 def balanced_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
     """Add ``rows / (classes * rows of the class)`` as a weight column."""
-    counted = df.groupBy(label).agg(F.count("*").alias("n")).take(MAX_CLASSES + 1)
-    if len(counted) > MAX_CLASSES:
-        raise ValueError(f"{label!r} has more than {MAX_CLASSES} classes")
-    sizes = {r[label]: r["n"] for r in counted}
-    total = sum(sizes.values())
-    weight = None
-    for level, n in sizes.items():
-        value = F.lit(total / (len(sizes) * n))
-        hit = F.col(label).eqNullSafe(F.lit(level))
-        weight = F.when(hit, value) if weight is None else weight.when(hit, value)
-    return df.withColumn(name, weight if weight is not None else F.lit(1.0))
+    counted = df.groupBy(label).agg(F.count("*").alias("__n"))
+    rows, classes = counted.agg(F.coalesce(F.sum("__n"), F.lit(0)), F.count("*")).first()
+    weights = counted.select(
+        F.struct(label).alias("__class"), (F.lit(rows) / (classes * F.col("__n"))).alias(name)
+    )
+    keyed = df.withColumn("__class", F.struct(label))
+    return keyed.join(weights, "__class").drop("__class")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import numeric_columns
@@ -13,7 +13,6 @@ from .ordered import quantiles
 from .profile import long_form, missing_shares, most_frequent, spreads, static_columns
 
 # Level tables up to this size become literals in the plan; larger ones are joined.
-INLINE_LEVELS = 10_000
 
 
 def sentinel_to_null(df: DataFrame, sentinel: str = "-") -> DataFrame:
@@ -89,8 +88,9 @@ class NullPolicy:
         for c, v in self.fills.items():
             if kinds[c] in ("double", "float"):
                 changed[c] = F.coalesce(F.nanvl(F.col(c), F.lit(None)), F.lit(v))
-            elif kinds[c] in ("tinyint", "smallint", "int", "bigint") and v != int(v):
-                # the median of integers may lie between two of them
+            elif kinds[c] in ("tinyint", "smallint", "int", "bigint"):
+                # the median of integers may lie between two of them; the type of the
+                # result must not depend on the data
                 changed[c] = F.coalesce(F.col(c).cast("double"), F.lit(v))
             else:
                 changed[c] = F.coalesce(F.col(c), F.lit(v).cast(kinds[c]))
@@ -124,7 +124,6 @@ class LevelFilter:
         self.columns, self.other = list(columns), other
         self.min_count, self.min_share = min_count, min_share
         self.levels: DataFrame | None = None
-        self.inline: dict[str, list[str]] | None = None
 
     def fit(self, df: DataFrame) -> LevelFilter:
         counts = level_counts(df, self.columns)
@@ -137,25 +136,9 @@ class LevelFilter:
                 total = F.when(F.col("variable") == c, F.lit(filled_rows[c])).otherwise(total)
             frequent = counts.where(F.col("n") / total >= self.min_share)
         self.levels = staged(frequent.select("variable", "value"))
-        # One row more than the limit shows whether all levels fit.
-        head = self.levels.take(INLINE_LEVELS + 1)
-        self.inline = None
-        if len(head) <= INLINE_LEVELS:
-            self.inline = {c: [] for c in self.columns}
-            for r in head:
-                self.inline[r["variable"]].append(r["value"])
         return self
 
-    def _inline_column(self, column: str) -> Column:
-        frequent = self.inline[column]
-        text = F.col(column).cast("string")
-        if not frequent:
-            return F.lit(self.other)
-        return F.when(text.isin(*frequent), text).otherwise(F.lit(self.other))
-
     def transform(self, df: DataFrame) -> DataFrame:
-        if self.inline is not None:
-            return df.withColumns({c: self._inline_column(c) for c in self.columns})
         out = df
         for c in self.columns:
             known = self.levels.where(F.col("variable") == c).select(

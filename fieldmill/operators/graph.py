@@ -60,12 +60,19 @@ def graph_features(
 
 def degrees(edges: DataFrame, by: str = "_id", source: str = "from", target: str = "to") -> DataFrame:
     """Edges with out- and in-degrees of their ends, overall and within the graph."""
-    def sized(keys: list[str], name: str) -> DataFrame:
-        return edges.groupBy(*keys).agg(F.count("*").alias(name))
+    # struct keys, so that edges with a null end or graph stay and are counted
+    def sized(keys: list[str], key: str, name: str) -> DataFrame:
+        return edges.groupBy(F.struct(*keys).alias(key)).agg(F.count("*").alias(name))
 
-    return (
-        edges.join(sized([source], "global_source_degrees"), source)
-        .join(sized([target], "global_dest_degrees"), target)
-        .join(sized([by, source], "local_source_degrees"), [by, source])
-        .join(sized([by, target], "local_dest_degrees"), [by, target])
-    )
+    out = edges
+    for n, (keys, name) in enumerate(
+        (
+            ([source], "global_source_degrees"),
+            ([target], "global_dest_degrees"),
+            ([by, source], "local_source_degrees"),
+            ([by, target], "local_dest_degrees"),
+        )
+    ):
+        out = out.withColumn(f"__key{n}", F.struct(*keys))
+        out = out.join(sized(keys, f"__key{n}", name), f"__key{n}").drop(f"__key{n}")
+    return out

@@ -249,10 +249,15 @@ def histogram(
     df: DataFrame, column: str | Column, low: float, high: float, bins: int,
     by: str | None = None,
 ) -> DataFrame:
-    """Counts in equally wide bins (the top bin is closed), with shares per class."""
+    """Counts in equally wide bins (the top bin is closed), with shares per class.
+
+    Bin 0 holds what lies below ``low`` and bin ``bins + 1`` what lies above ``high``, so
+    shares are of all rows with a value.
+    """
     value = F.col(column) if isinstance(column, str) else column
-    number = F.least(F.width_bucket(value, F.lit(low), F.lit(high), F.lit(bins)), F.lit(bins))
-    inside = df.where(value.between(low, high)).withColumn("bin", number.cast("int"))
+    number = F.width_bucket(value, F.lit(low), F.lit(high), F.lit(bins))
+    number = F.when(value == high, F.lit(bins)).otherwise(number)
+    inside = df.where(value.isNotNull()).withColumn("bin", number.cast("int"))
     keys = [by] if by else []
     counted = inside.groupBy(*keys, "bin").agg(F.count("*").alias("count"))
     share = F.col("count") / F.sum("count").over(Window.partitionBy(*keys))

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,11 +30,10 @@ class LendingSettings:
     output: Sequence[str] = ()
     min_share: float = 0.005
     test_size: float = 0.1
-    extra: Mapping[str, object] = field(default_factory=dict)
 
 
 def run(raw: DataFrame, places: DataFrame | None, s: LendingSettings) -> DataFrame:
-    """Cleaned loans with a ``split`` column."""
+    """Cleaned loans with a ``split`` column; loans without a year are ``unknown``."""
     year = F.col(s.year).cast("string")
     df = LevelFilter(list(s.rare_columns), min_share=s.min_share).fit(raw).transform(raw)
     df = df.withColumns(
@@ -50,9 +49,11 @@ def run(raw: DataFrame, places: DataFrame | None, s: LendingSettings) -> DataFra
         df = df.withColumn("naics_first_two", F.substring(F.col(s.naics).cast("string"), 1, 2))
     if places is not None:
         df = coordinates(df, s.zip_column, places, "code", "longitude", "latitude")
-    df = df.where(~year.isin(*s.bad_years)).withColumn(s.year, year.try_cast("int"))
+    df = df.where(~F.coalesce(year.isin(*s.bad_years), F.lit(False))).withColumn(s.year, year.try_cast("int"))
     if s.output:
         df = df.select(*s.output)
-    return time_split(
-        df, s.year, s.test_size, s.test_size, mode="linear", boundary_in_test=False
+    known = time_split(
+        df.where(F.col(s.year).isNotNull()), s.year, s.test_size, s.test_size, mode="linear", boundary_in_test=False
     )
+    unknown = df.where(F.col(s.year).isNull()).withColumn("split", F.lit("unknown"))
+    return known.unionByName(unknown)

@@ -17,10 +17,12 @@ from ..learn.model import clustered_texts, top_terms
 
 
 def prepared(mails: DataFrame, stopwords: Iterable[str], column: str = "emails") -> DataFrame:
-    """Narrow transformations only: no shuffle however large the corpus is."""
+    """Narrow transformations only: no shuffle however large the corpus is.
+
+    Every mail stays; one without a body has null measures and tokens.
+    """
     return (
         mails.withColumns(header_fields(column))
-        .where("email_text is not null")
         .withColumns(text_measures("email_text"))
         .transform(with_clean_text, "email_text", "clean_text")
         .transform(with_tokens, "clean_text")
@@ -30,5 +32,6 @@ def prepared(mails: DataFrame, stopwords: Iterable[str], column: str = "emails")
 
 def clusters(prepared_mails: DataFrame, k: int = 5, terms: int = 100) -> DataFrame:
     """Most frequent terms per cluster of texts."""
-    grouped = clustered_texts(prepared_mails, "clean_text_tokenised", k)
+    known = prepared_mails.where("clean_text_tokenised is not null")
+    grouped = clustered_texts(known, "clean_text_tokenised", k)
     return top_terms(grouped, "clean_text_tokenised", "cluster", terms)

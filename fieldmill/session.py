@@ -9,9 +9,6 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
-SMALL_KEY = "fieldmill.smallTableBytes"
-SMALL_BYTES = 64 << 20
-SPREAD_BYTES = 256 << 20
 _STAGED: list[str] = []
 
 
@@ -87,37 +84,6 @@ def release_staged(spark: SparkSession) -> int:
     return removed
 
 
-def planned_bytes(df: DataFrame) -> int:
-    """Estimated bytes of the tables ``df`` is made from.
-
-    Spark knows the size of files it scans, in columns actually read; sources
-    of unknown size count as huge.
-    """
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
-def is_small(df: DataFrame) -> bool:
-    """Whether the estimate allows sorting a whole group of ``df`` in one task.
-
-    ``fieldmill.smallTableBytes`` sets the limit. It only chooses between two
-    exact methods; sorting spills to disk should the estimate be wrong.
-    """
-    limit = int(df.sparkSession.conf.get(SMALL_KEY, str(SMALL_BYTES)))
-    return planned_bytes(df) <= limit
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a small table out to all cores.
-
-    A small file may hold a single row group and would then be one task. Large
-    tables have enough files and stay as they are.
-    """
-    if planned_bytes(df) > SPREAD_BYTES:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
-
 def kept(df: DataFrame) -> DataFrame:
     """Persist a table that several actions read, spilling to disk when needed."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)

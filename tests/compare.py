@@ -1,13 +1,11 @@
 """Run registered queries against DuckDB and report differences.
 
-``python tests/compare.py [folder] [name-part ...]``; ``SMALL_BYTES=0`` forces the
-methods for large inputs.
+``python tests/compare.py [folder] [name-part ...]``.
 """
 
 from __future__ import annotations
 
 import math
-import os
 import sys
 import time
 from pathlib import Path
@@ -84,7 +82,7 @@ def difference(df, con, sql: str) -> str | None:
 
 def main() -> int:
     from fieldmill.catalog import Tables, load_all
-    from fieldmill.session import SMALL_BYTES, SMALL_KEY, build_session
+    from fieldmill.session import build_session
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     parts = sys.argv[2:]
@@ -95,7 +93,6 @@ def main() -> int:
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "8g",
-            SMALL_KEY: os.environ.get("SMALL_BYTES", str(SMALL_BYTES)),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -6,7 +6,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from fieldmill.session import SMALL_KEY, build_session  # noqa: E402
+from fieldmill.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -24,11 +24,3 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-@pytest.fixture
-def sliced(spark):
-    """Force the method for large inputs."""
-    spark.conf.set(SMALL_KEY, "0")
-    yield
-    spark.conf.unset(SMALL_KEY)

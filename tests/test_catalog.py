@@ -7,17 +7,11 @@ from compare import difference, open_tables
 
 import __spark_entry__ as entry
 from fieldmill.catalog import Tables, load_all
-from fieldmill.session import SMALL_KEY
 
 FOLDER = "/root/testdata/sf0.001"
 ENTRIES = load_all()
 EXACT = [n for n, e in ENTRIES.items() if e.sql is not None]
 LOOSE = ["a8_corpus_scan", "i1_native_hash", "j7_string_index", "m5_text_clusters", "q3_fraud_job"]
-SLICED = [
-    "d11_group_median", "d17_describe", "d23_quantiles_discrete", "d27_five_numbers_by_bin",
-    "j8_ordinal_codes", "l3_entity_split", "l5_time_split_discrete", "p1_roc_auc",
-    "p7_rule_f1", "p10_metrics_by_split",
-]
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables")
 
@@ -33,13 +27,6 @@ def test_exact(spark, con, name):
     assert difference(e.build(Tables(spark, FOLDER)), con, e.sql) is None
 
 
-@pytest.mark.parametrize("name", SLICED)
-def test_exact_with_large_method(spark, con, sliced, name):
-    assert spark.conf.get(SMALL_KEY) == "0"
-    e = ENTRIES[name]
-    assert difference(e.build(Tables(spark, FOLDER)), con, e.sql) is None
-
-
 @pytest.mark.parametrize("name", LOOSE)
 def test_rows(spark, name):
     assert ENTRIES[name].build(Tables(spark, FOLDER)).count() > 0

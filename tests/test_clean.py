@@ -1,7 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-import fieldmill.operators.clean as clean
 from fieldmill.functions.numbers import casts
 from fieldmill.operators.clean import (
     LevelFilter,
@@ -29,13 +28,9 @@ def levels(spark):
     return spark.createDataFrame(rows, "c string").withColumn("d", F.coalesce("c", F.lit("z")))
 
 
-@pytest.mark.parametrize("inline", [True, False])
-def test_rare_levels(spark, monkeypatch, inline):
+def test_rare_levels(spark):
     """100 is rare, 101 is not; every listed column is recoded; null is Other."""
-    if not inline:
-        monkeypatch.setattr(clean, "INLINE_LEVELS", 0)
     fitted = LevelFilter(["c", "d"], min_count=100).fit(levels(spark))
-    assert (fitted.inline is not None) == inline
     out = fitted.transform(levels(spark))
     counts = {(r["c"], r["d"]): r["count"] for r in out.groupBy("c", "d").count().collect()}
     assert counts == {("x", "x"): 101, ("Other", "Other"): 100, ("Other", "z"): 150}

@@ -4,7 +4,6 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-import fieldmill.learn.encode as encode
 from fieldmill.learn import evaluate as E
 from fieldmill.learn import model as M
 from fieldmill.learn import tune as N
@@ -51,11 +50,7 @@ def check_ranking(spark):
         assert r["average_precision"] == pytest.approx(brute_ap(part))
 
 
-def test_ranking_small(spark):
-    check_ranking(spark)
-
-
-def test_ranking_sliced(spark, sliced):
+def test_ranking(spark):
     check_ranking(spark)
 
 
@@ -110,13 +105,10 @@ def woe_frames(spark):
     return train, new
 
 
-@pytest.mark.parametrize("inline", [True, False])
-def test_weight_of_evidence(spark, monkeypatch, inline):
-    if not inline:
-        monkeypatch.setattr(encode, "INLINE_WEIGHTS", 0)
+def test_weight_of_evidence(spark):
     train, new = woe_frames(spark)
     model = WoeEncoder(["c", "same"], "y").fit(train)
-    assert model.invariant == ["same"] and (model.inline is not None) == inline
+    assert model.invariant == ["same"]
     out = model.transform(new)
     assert out.columns == ["c"]
     x = math.log(((2 + 1) / (4 + 2)) / ((1 + 1) / (4 + 2)))

@@ -36,12 +36,7 @@ def check_totals(rows, df, descending):
 
 
 @pytest.mark.parametrize("descending", [False, True])
-def test_running_totals_small(spark, descending):
-    check_totals(*data(spark), descending)
-
-
-@pytest.mark.parametrize("descending", [False, True])
-def test_running_totals_sliced(spark, sliced, descending):
+def test_running_totals(spark, descending):
     rows, df = data(spark)
     check_totals(rows, df, descending)
 
@@ -62,15 +57,11 @@ def check_quantiles(rows, df):
                 assert r[name] == pytest.approx(want), (mode, name, r["k"])
 
 
-def test_quantiles_small(spark):
-    check_quantiles(*data(spark))
-
-
-def test_quantiles_sliced(spark, sliced):
+def test_quantiles(spark):
     check_quantiles(*data(spark))
 
 
-def test_quantiles_edges(spark, sliced):
+def test_quantiles_edges(spark):
     empty = spark.createDataFrame([], "v double")
     assert scalar_quantile(empty, "v", 0.5) is None
     one = spark.createDataFrame([(4.0,)], "v double")
@@ -86,7 +77,7 @@ def test_nested_quantiles(spark):
     assert (first, second) == pytest.approx((9.1, 8.2))
 
 
-def test_alphabetical_codes(spark, sliced):
+def test_alphabetical_codes(spark):
     df = spark.createDataFrame([("b",), ("a",), (None,), ("b",), ("C",)], "v string")
     assert {r["v"]: r["code"] for r in alphabetical_codes(df, "v").collect()} == {
         "C": 0, "a": 1, "b": 2,

@@ -113,3 +113,14 @@ def test_graphs(spark):
     assert full["many"]["max_local_source_degrees"] == 2
     assert full["many"]["avg_global_source_degrees"] == pytest.approx((3 + 3 + 1) / 3)
     assert graph_features(edges, []).columns == ["_id", "n_connections", "n_unique_nodes"]
+
+
+def test_degrees_keep_edges_without_an_end(spark):
+    edges = spark.createDataFrame(
+        [("g", "a", "b"), ("g", "a", None), (None, None, "b")], "_id string, from string, to string"
+    )
+    got = {(r["_id"], r["from"], r["to"]): r for r in degrees(edges).collect()}
+    assert len(got) == 3
+    assert got["g", "a", None]["global_source_degrees"] == 2
+    assert got["g", "a", "b"]["global_dest_degrees"] == 2
+    assert got["g", "a", "b"]["local_dest_degrees"] == 1

@@ -50,7 +50,7 @@ def test_hash_split(rows, mode):
         hash_split(rows, "ip", mode="odd")
 
 
-def test_entity_split(rows, sliced):
+def test_entity_split(rows):
     out = entity_split(rows, "ip", "is_bad", 0.3)
     assert out.columns == [*rows.columns, "split"]
     assert out.count() == 600
