@@ -3,9 +3,11 @@
 A frame covers the ``minutes`` before the current second and leaves that second
 out. Rows are first added up per (key, second), which is exact because frames
 start and end on whole seconds. The time axis of every key is then cut into
-chunks; rows near the end of a chunk are handed to the next one as well, so each
-chunk can be computed alone. A key that holds most of the table is thereby
-spread over many tasks, and no window partition exceeds the seconds in a chunk.
+blocks as long as the frame. A frame is the end of one block and the start of
+the next: the first is read from a running sum taken backwards, the second from
+one taken forwards. So the work grows with the rows, whatever the frame's
+length, nothing is subtracted, and a key that holds most of the table is spread
+over as many tasks as it has blocks.
 """
 
 from __future__ import annotations
@@ -16,8 +18,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-_CHUNK_FRAMES = 8
-_MIN_CHUNK_SECONDS = 6 * 3600
 OPERATIONS = ("count", "sum", "avg")
 
 
@@ -112,31 +112,37 @@ def _per_second_features(
     partials += [F.sum(c).alias(f"__s{number[c]}") for c in columns if c in summed]
     cells = df.groupBy(key, second).agg(*partials)
 
-    longest = 60 * max(s.minutes for s in specs)
-    span = max(_CHUNK_FRAMES * longest, _MIN_CHUNK_SECONDS)
-    own = F.floor(F.col(second) / F.lit(span))
-    near_end = F.pmod(F.col(second), F.lit(span)) >= F.lit(span - longest)
-    chunks = cells.withColumn("__own", own).withColumn(
-        "__chunk",
-        F.explode(F.when(near_end, F.array(own, own + 1)).otherwise(F.array(own))),
+    widths = sorted({60 * s.minutes for s in specs})
+    wide = cells.withColumn("__w", F.explode(F.array(*(F.lit(w) for w in widths))))
+    block = F.floor(F.col(second) / F.col("__w"))
+    own = F.struct(block.alias("block"), F.col(second).alias("at"), F.lit(True).alias("own"))
+    probe = F.struct(
+        (block - 1).alias("block"), (F.col(second) - F.col("__w")).alias("at"), F.lit(False).alias("own")
     )
-    ordered = Window.partitionBy(key, "__chunk").orderBy(second)
-    features = {}
+    places = F.when(F.col(second).isNull(), F.array(own)).otherwise(F.array(own, probe))
+    rows = wide.withColumn("__p", F.explode(places)).select("*", "__p.block", "__p.at", "__p.own")
+    measures = [c for c in cells.columns if c not in (key, second)]
+    within = Window.partitionBy(key, "__w", "block")
+    before = within.orderBy("at", "own").rowsBetween(Window.unboundedPreceding, -1)
+    since = within.orderBy(F.desc("at"), F.desc("own")).rowsBetween(Window.unboundedPreceding, 0)
+    found = {}
+    for m in measures:
+        value = F.when(F.col("own"), F.col(m))
+        found[m] = (
+            F.when(F.col(second).isNull(), F.col(m))  # unknown times see each other
+            .when(F.col("own"), F.sum(value).over(before))
+            .otherwise(F.sum(value).over(since))
+        )
+    parts = rows.select(key, second, "__w", *(found[m].alias(m) for m in measures))
+    features = []
     for spec in specs:
-        i = number[spec.column]
-        frame = ordered.rangeBetween(-60 * spec.minutes, -1)
-        rows = F.coalesce(F.sum(f"__n{i}").over(frame), F.lit(0))
+        i, mine = number[spec.column], F.col("__w") == 60 * spec.minutes
+        count = F.coalesce(F.sum(F.when(mine, F.col(f"__n{i}"))), F.lit(0))
         if spec.operation == "count":
-            features[spec.name] = rows
-        elif spec.operation == "sum":
-            features[spec.name] = F.sum(f"__s{i}").over(frame)
+            value = count
         else:
-            features[spec.name] = F.try_divide(F.sum(f"__s{i}").over(frame), rows)
-    return (
-        chunks.withColumns(features)
-        .where(F.col("__chunk").eqNullSafe(F.col("__own")))
-        .select(
-            F.struct(F.col(key), F.col(second)).alias("__slot"),
-            *(s.name for s in specs),
-        )
-    )
+            value = F.sum(F.when(mine, F.col(f"__s{i}")))
+            if spec.operation == "avg":
+                value = F.try_divide(value, count)
+        features.append(value.alias(spec.name))
+    return parts.groupBy(F.struct(F.col(key), F.col(second)).alias("__slot")).agg(*features)

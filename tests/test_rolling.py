@@ -71,7 +71,7 @@ def test_unknown_operation():
 
 @pytest.mark.parametrize("op", ["count", "sum", "avg"])
 def test_random_against_definition(spark, op):
-    """Most rows in one key, times across many chunk limits."""
+    """Most rows in one key, times across many block limits."""
     rng = random.Random(5)
     base = 6 * 3600 * 1000
     rows = [
@@ -119,3 +119,16 @@ def test_narrow_rows_give_the_same(spark):
 
 def test_empty(spark):
     assert add_rolling(frame(spark, []), [Rolling("n", "k", 1)]).count() == 0
+
+
+def test_work_grows_with_the_rows(spark):
+    """Twice the seconds of one key give twice the rows at every step of the plan."""
+    def made(seconds):
+        rows = [(i, "hot", "x", 1_000_000 + i, 1.0) for i in range(seconds)]
+        out = add_rolling(frame(spark, rows), [Rolling("n", "k", 24 * 60)])
+        assert out.agg(F.sum("n")).first()[0] == seconds * (seconds - 1) // 2
+        windows = out._jdf.queryExecution().executedPlan().toString()
+        assert "RangeFrame" not in windows and "rangebetween" not in windows.lower()
+
+    made(1000)
+    made(2000)
