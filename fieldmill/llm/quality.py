@@ -210,11 +210,10 @@ def _features(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _blocks(batches):
             words, first = hashed_words(batch.column("text"))
-            inputs = pooled(words, first, shared.value)
-            ends = pa.array(np.arange(len(inputs) + 1, dtype=np.int32) * inputs.shape[1])
-            flat = pa.ListArray.from_arrays(ends, pa.array(inputs.ravel()))
+            inputs = pooled(words, first, shared.value).astype(np.float32)
+            packed = pa.array([row.tobytes() for row in inputs], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("label"), flat], ["doc_id", "label", "inputs"]
+                [batch.column("label"), batch.column("held"), packed], ["label", "held", "inputs"]
             )
 
     return run
@@ -256,18 +255,17 @@ def train(
     # about sample_rows ids, so the broadcast side is bounded
     chosen = F.broadcast(known.where(part < limit))
     texts = docs.select("doc_id", "text").join(chosen, "doc_id")
-    kind = T.StructType(
-        [
-            T.StructField("doc_id", docs.schema["doc_id"].dataType),
-            T.StructField("label", T.IntegerType()),
-            T.StructField("inputs", T.ArrayType(T.DoubleType())),
-        ]
-    )
-    got = texts.mapInArrow(_features(spark.sparkContext.broadcast(vectors)), kind)
-    got = got.withColumn("held", F.crc32(F.col("doc_id").cast("string")) % 5 == 0)
-    got = got.orderBy("doc_id", "inputs").toPandas()
-    inputs = np.array(got["inputs"].tolist()).reshape(len(got), INPUTS)
-    net = fit_network(inputs, got["label"].to_numpy(), got["held"].to_numpy().astype(bool))
+    held = (F.crc32(F.col("doc_id").cast("string")) % 5 == 0).alias("held")
+    shared = spark.sparkContext.broadcast(vectors)
+    got = texts.select("text", "label", held).mapInArrow(
+        _features(shared), "label int, held boolean, inputs binary"
+    ).toArrow()
+    # bytes in one block: about sample_rows times INPUTS floats; the order of rows is not fixed
+    packed = sorted(zip(got.column("inputs").to_pylist(), got.column("label").to_pylist(), got.column("held").to_pylist()))
+    inputs = np.frombuffer(b"".join(p for p, _, _ in packed), np.float32).reshape(len(packed), INPUTS)
+    target, held = (np.array([p[k] for p in packed], kind) for k, kind in ((1, np.int64), (2, bool)))
+    del got, packed
+    net = fit_network(inputs, target, held)
     return QualityModel(vectors, net)
 
 
