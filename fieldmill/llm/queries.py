@@ -132,6 +132,41 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_jump_sharding": r"""
+WITH docs AS (
+    SELECT doc_id, coalesce(text, '') AS t FROM documents
+), bytes AS (
+    SELECT doc_id, octet_length(encode(t)) AS n, string_split(hex(encode(t)), '') AS h FROM docs
+), halves AS (  -- low half of every byte before its high half
+    SELECT doc_id, n, flatten([[strpos('0123456789ABCDEF', h[2 * i]) - 1,
+        strpos('0123456789ABCDEF', h[2 * i - 1]) - 1] FOR i IN range(1, n + 1)]) AS v
+    FROM bytes
+), sums AS (  -- fixed values: the CRC-32 of all 16 halves
+    SELECT doc_id, n + 16 AS size, xor(list_reduce(
+        list_prepend(CAST(4294967295 AS BIGINT), CAST(v AS BIGINT[])),
+        lambda c, b: xor(c >> 4, CAST([0, 498536548, 997073096, 651767980, 1994146192, 1802195444,
+            1303535960, 1342533948, 3988292384, 4027552580, 3604390888, 3412177804, 2607071920,
+            2262029012, 2685067896, 3183342108][CAST(1 + (xor(c, b) & 15) AS INTEGER)] AS BIGINT))
+        ), 4294967295) AS text_crc32
+    FROM halves
+), jumps AS (
+    SELECT doc_id, [list_reduce(
+        list_prepend({'k': CAST(doc_id AS HUGEINT), 'b': CAST(-1 AS BIGINT), 'j': CAST(0 AS BIGINT)},
+            [{'k': CAST(0 AS HUGEINT), 'b': CAST(0 AS BIGINT), 'j': CAST(0 AS BIGINT)} FOR x IN range(41)]),
+        lambda s, x: CASE WHEN s.j >= n THEN s ELSE {
+            'k': (s.k * 2862933555777941757 + 1) % 18446744073709551616,
+            'b': s.j,
+            'j': CAST(floor((s.j + 1) * (CAST(2147483648 AS DOUBLE) / CAST(
+                ((s.k * 2862933555777941757 + 1) % 18446744073709551616) // 8589934592 + 1 AS DOUBLE))) AS BIGINT)
+        } END).b FOR n IN [40, 41]] AS b,
+        ((CAST(doc_id AS HUGEINT) * 2862933555777941757 + 1) % 18446744073709551616) // 8589934592 % 1024 AS block
+    FROM docs
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, text_crc32, 'key' AS law, CAST(b[1] AS INTEGER) AS shard,
+       CAST(b[2] AS INTEGER) AS grown_shard,
+       row_number() OVER (PARTITION BY b[1] ORDER BY block, doc_id) - 1 AS slot
+FROM sums JOIN jumps USING (doc_id)
+""",
     "op7_benchmark_decontamination": r"""
 WITH docs AS (
     SELECT doc_id, regexp_extract_all(
