@@ -11,7 +11,7 @@ from ..operators.split import (
     hash_split,
     period_split,
     pinned_entity_split,
-    random_parts,
+    seeded_split,
     split_sizes,
     time_split,
 )
@@ -29,10 +29,14 @@ def _named(parts: tuple, names: tuple[str, ...], *cols: str) -> DataFrame:
     return out
 
 
-@register("l1_random_split")
+@register(
+    "l1_random_split",
+    """WITH d AS (SELECT event_id, CAST('0x' || substr(md5('200:' || CAST(event_id AS VARCHAR)), 1, 8) AS BIGINT) % 10000 AS a,
+      CAST('0x' || substr(md5('201:' || CAST(event_id AS VARCHAR)), 1, 8) AS BIGINT) % 10000 AS b FROM events)
+    SELECT event_id, CASE WHEN a < 2000 THEN 'test' WHEN b < 2000 THEN 'val' ELSE 'train' END AS split FROM d""",
+)
 def random_split(t: Tables) -> DataFrame:
-    parts = random_parts(t.events, 0.2, 0.2)
-    return _named(parts, ("train", "val", "test"), "event_id")
+    return seeded_split(t.events, "event_id", 0.2, 0.2).select("event_id", "split")
 
 
 @register(

@@ -234,14 +234,20 @@ def unpivot_static(t: Tables) -> DataFrame:
     return static_table(df, df.columns)
 
 
-@register("b15_sample_share")
+@register(
+    "b15_sample_share",
+    "SELECT event_id, value FROM events WHERE CAST('0x' || substr(md5('7:' || CAST(event_id AS VARCHAR)), 1, 8) AS BIGINT) % 10000 < 1000",
+)
 def sample_share(t: Tables) -> DataFrame:
-    return sampled(t.events, 0.1).select("event_id", "value")
+    return sampled(t.events, 0.1, key="event_id").select("event_id", "value")
 
 
-@register("b15_sample_rows")
+@register(
+    "b15_sample_rows",
+    "SELECT event_id, value FROM events ORDER BY CAST('0x' || substr(md5('7:' || CAST(event_id AS VARCHAR)), 1, 8) AS BIGINT), event_id LIMIT 25",
+)
 def sample_rows(t: Tables) -> DataFrame:
-    return sampled_rows(t.events, 25).select("event_id", "value")
+    return sampled_rows(t.events, 25, "event_id").select("event_id", "value")
 
 
 # --- joins --------------------------------------------------------------------
@@ -273,10 +279,14 @@ def original_features(t: Tables) -> DataFrame:
     return out.withColumn("first_day", day("first_day"))
 
 
-@register("c3_sampled_flag")
+@register(
+    "c3_sampled_flag",
+    """SELECT event_id, user_id, CASE WHEN CAST('0x' || substr(md5('7:' || CAST(user_id AS VARCHAR)), 1, 8) AS BIGINT) % 10000 < 8000
+      THEN 1 END AS is_train FROM events""",
+)
 def sampled_flag(t: Tables) -> DataFrame:
     """Left join that marks the rows of sampled entities."""
-    users = sampled(t.events.select("user_id").distinct(), 0.8).withColumn("is_train", F.lit(1))
+    users = sampled(t.events.select("user_id").distinct(), 0.8, key="user_id").withColumn("is_train", F.lit(1))
     return t.events.join(users, "user_id", "left").select("event_id", "user_id", "is_train")
 
 

@@ -101,7 +101,7 @@ def value_counts(df: DataFrame, *columns: str, name: str = "count") -> DataFrame
 def counts_with_share(df: DataFrame, column: str, digits: int = 4) -> DataFrame:
     """Group sizes with their share of all rows."""
     grouped = df.groupBy(column).agg(F.count("*").alias("count"))
-    total = df.agg(F.count("*")).scalar()
+    total = grouped.agg(F.sum("count")).scalar()
     return grouped.withColumn("percent", F.round(F.col("count") / total, digits)).orderBy(
         F.desc("count"), column
     )

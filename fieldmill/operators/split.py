@@ -174,10 +174,30 @@ def split_sizes(df: DataFrame, label: str, column: str = "split") -> DataFrame:
     )
 
 
-def sampled(df: DataFrame, share: float, seed: int = 7) -> DataFrame:
-    return df.sample(False, share, seed)
+def draw(key: str, seed: int) -> Column:
+    """0 to BUCKETS - 1 from a seeded hash of ``key``, the same in every re-run."""
+    return F.pmod(portable_hash(key, f"{seed}:"), F.lit(BUCKETS))
 
 
-def sampled_rows(df: DataFrame, n: int, seed: int = 7) -> DataFrame:
-    """Fixed-size random sample: each task keeps its n smallest draws."""
-    return df.orderBy(F.rand(seed)).limit(n)
+def sampled(df: DataFrame, share: float, seed: int = 7, key: str | None = None) -> DataFrame:
+    """Rows drawn by a hash of ``key``, or freely without one."""
+    if key is None:
+        return df.sample(False, share, seed)
+    return df.where(draw(key, seed) < F.lit(round(share * BUCKETS)))
+
+
+def sampled_rows(df: DataFrame, n: int, key: str, seed: int = 7) -> DataFrame:
+    """Sample of ``n`` rows: each task keeps the n smallest hashes of ``key``."""
+    return df.orderBy(portable_hash(key, f"{seed}:"), key).limit(n)
+
+
+def seeded_split(
+    df: DataFrame, key: str, test_size: float = 0.2, val_size: float = 0.0, seed: int = 200
+) -> DataFrame:
+    """``split`` by hashes of ``key`` in one pass; validation is cut from the rest.
+
+    Unlike :func:`random_parts` it does not depend on how the rows are partitioned.
+    """
+    name = F.when(draw(key, seed) < F.lit(round(test_size * BUCKETS)), "test")
+    name = name.when(draw(key, seed + 1) < F.lit(round(val_size * BUCKETS)), "val")
+    return df.withColumn("split", name.otherwise("train"))

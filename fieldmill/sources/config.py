@@ -1,18 +1,20 @@
-"""Job settings from YAML or JSON files, read on the driver."""
+"""Job settings from YAML or JSON files on any file system that Spark reads."""
 
 from __future__ import annotations
 
 import dataclasses
 import json
-from pathlib import Path
 from typing import TypeVar
 
+from pyspark.sql import SparkSession
+
 S = TypeVar("S")
 
 
 def load_settings(kind: type[S], path: str) -> S:
     """Fill the dataclass ``kind`` from a file; unknown or missing names fail."""
-    text = Path(path).read_text(encoding="utf-8")
+    spark = SparkSession.builder.getOrCreate()
+    text = spark.read.text(path, wholetext=True).first()["value"]
     if path.endswith(".json"):
         raw = json.loads(text)
     else:
