@@ -146,3 +146,12 @@ def word_and_symbol_kinds() -> np.ndarray:
 
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 SPACED = byte_flags(r"[^\x20\x09-\x0D]")
+
+
+def with_text(batches: Iterator[pa.RecordBatch], place: int | None) -> Iterator[pa.RecordBatch]:
+    """Batches with a ``text`` column, taken from field ``place`` of whole carried rows."""
+    for batch in batches:
+        if place is not None:
+            rows = batch.column("carried")
+            batch = pa.RecordBatch.from_arrays([rows, rows.field(place)], ["carried", "text"])
+        yield batch

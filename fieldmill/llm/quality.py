@@ -219,10 +219,10 @@ def _features(shared):
     return run
 
 
-def _scores(shared):
+def _scores(shared, place: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors, net = shared.value
-        for batch in _blocks(batches):
+        for batch in _blocks(A.with_text(batches, place)):
             words, first = hashed_words(batch.column("text"))
             score = net.scores(pooled(words, first, vectors))
             yield pa.RecordBatch.from_arrays([batch.column("carried"), pa.array(score)], ["carried", "score"])
@@ -269,12 +269,17 @@ def train(
     return QualityModel(vectors, net)
 
 
-def _judged(docs: DataFrame, model: QualityModel, carried: Column, text: str) -> DataFrame:
+def _judged(docs: DataFrame, model: QualityModel, doc_id: str | None, text: str) -> DataFrame:
+    """Scores beside the id, or beside whole rows, whose text is then not sent twice."""
     ship_package(docs.sparkSession)
-    own = docs.select(carried.alias("carried"), F.col(text).alias("text"))
+    if doc_id is None:
+        own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("carried"))
+        place = docs.columns.index(text)
+    else:
+        own, place = docs.select(F.col(doc_id).alias("carried"), F.col(text).alias("text")), None
     kind = T.StructType([own.schema["carried"], T.StructField("score", T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast((model.vectors, model.net))
-    return own.mapInArrow(_scores(shared), kind)
+    return own.mapInArrow(_scores(shared, place), kind)
 
 
 def score(docs: DataFrame, model: QualityModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -283,10 +288,10 @@ def score(docs: DataFrame, model: QualityModel, doc_id: str = "doc_id", text: st
     Null, empty and blank texts have no words and get the score of pooled zeros. Repeated
     rows give a row each; other columns are ignored.
     """
-    return _judged(docs, model, F.col(doc_id), text).withColumnRenamed("carried", "doc_id")
+    return _judged(docs, model, doc_id, text).withColumnRenamed("carried", "doc_id")
 
 
 def keep_good(docs: DataFrame, model: QualityModel, least: float, text: str = "text") -> DataFrame:
     """``docs``, all columns, without the rows that score below ``least``."""
-    found = _judged(docs, model, F.struct(*(F.col(f"`{c}`") for c in docs.columns)), text)
+    found = _judged(docs, model, None, text)
     return found.where(F.col("score") >= least).select("carried.*")
