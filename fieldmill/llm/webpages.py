@@ -1,16 +1,17 @@
 """Main text of web pages by equivalence-class template deduction.
 
-1. Every page becomes tokens: tags with the path above them, and text blocks. For each
-   host and token the pages that have it are summed up as an occurrence vector: number of
-   pages, and sums of a page hash times the token's count. Tokens with equal sums occur
-   equally often in the very same pages.
+1. Every page becomes tokens: tags and text blocks, each with the path above it, those of
+   articles included. For each host and token the pages that have it are summed up as an
+   occurrence vector: number of pages, number of occurrences, and a sum of hashes of page
+   and count. Tokens with equal sums occur equally often in the very same pages.
 2. Tokens of a host with equal vectors form a class. A class is valid if it covers enough
-   of the host's pages, occurs once a page, and its tags nest. The valid classes, nested
-   by their paths, are the host's template; a host of few pages has the tags that any
-   page has.
-3. Text between template tokens is a slot. Slots below an article or main tag, else all
-   that do not stand in a boilerplate container, are the content; text blocks that are
-   themselves template tokens are left out unless an article holds them.
+   of the host's pages and has tags that nest; a text belongs to it if it stands below a
+   tag of the template. Text that repeats without tags of its own is a value of a slot.
+   The valid classes, nested by their paths, are the host's template; a host of few
+   different pages has the tags that any page has.
+3. Text that is no template token is the slots. Names choose among them: slots below the
+   template's article or main tags; on a page without these, slots below its own; on a
+   page without any, all that do not stand in a boilerplate container.
 
 Occurrence vectors are sums, so a host with a third of all pages is added up in parts;
 templates go to the pages by a join on host and salt.
@@ -166,55 +167,72 @@ def _key(token: str) -> int:
     return int.from_bytes(digest, "little", signed=True)
 
 
+def _text_token(text: str, path: str) -> str:
+    return f"{path}#{text}"
+
+
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, token, kind, path, pages, two sums of the page hash times the count)."""
+    """(host, token, above, depth, pages, times, sum of hashes of page and count).
+
+    ``above`` is the token of the tag that holds this one, ``depth`` the number of tags in
+    the path of a tag, negative at its end, 0 for text.
+    """
     for batch in batches:
         held: dict[tuple[str, str], list] = {}
         hosts, pages = batch.column("host").to_pylist(), batch.column("page").to_pylist()
         for host, number, source in zip(hosts, pages, batch.column("html")):
             page = Page(source.as_py() or "")
             counts: dict[str, int] = {}
+            place: dict[str, tuple[str, int]] = {}
             for tag in page.tags:
                 counts[tag] = counts.get(tag, 0) + 1
-            for text, _, _, inside in page.blocks:
-                if not inside:  # an article's text is never template
-                    counts["#" + text] = counts.get("#" + text, 0) + 1
+                if tag not in place:
+                    path = tag.removesuffix("/end")
+                    place[tag] = path.rpartition("/")[0], path.count("/") * (1 if path == tag else -1)
+            for text, path, _, _ in page.blocks:
+                token = _text_token(text, path)
+                counts[token] = counts.get(token, 0) + 1
+                place[token] = path, 0
             for token, count in counts.items():
-                own = held.setdefault((host, token), [0, 0, 0])
+                own = held.setdefault((host, token), [0, 0, 0, *place[token]])
                 own[0] += 1
                 own[1] += count
                 own[2] ^= _key(f"{number} {count}")
+        keys = {path: _key(path) for path in {v[3] for v in held.values()}}
         columns = [
             pa.array([h for h, _ in held], pa.string()),
             pa.array([_key(t) for _, t in held], pa.int64()),
-            pa.array([None if t[0] == "#" else t for _, t in held], pa.string()),
-            *(pa.array([v[k] for v in held.values()], pa.int64()) for k in range(3)),
+            pa.array([keys[v[3]] for v in held.values()], pa.int64()),
+            *(pa.array([v[k] for v in held.values()], pa.int64()) for k in (4, 0, 1, 2)),
         ]
-        yield pa.RecordBatch.from_arrays(columns, ["host", "token", "tag", "pages", "times", "vector"])
+        names = ["host", "token", "above", "depth", "pages", "times", "vector"]
+        yield pa.RecordBatch.from_arrays(columns, names)
 
 
 def valid_tokens(tokens: pd.DataFrame) -> list[int]:
     """Tokens of a host's valid classes, nested into a template.
 
-    ``tokens`` has token, tag (null: a text block), pages, times, vector and all_pages.
-    A class is valid if every token occurs once a page and each of its tags stands below
-    tags of classes that cover at least its own pages.
+    ``tokens`` has token, above, depth, pages, times and vector. A class is valid if it has
+    a tag that stands below a tag of the template; its other tags and texts that do are
+    template tokens too. Classes of more pages come first.
     """
-    once = tokens[tokens["times"] == tokens["pages"]]
-    classes = [g for _, g in once.groupby(["pages", "vector"])]
-    classes.sort(key=lambda g: -int(g["pages"].iloc[0]))
-    template: set[str] = {""}
+    rows = tokens.assign(level=tokens["depth"].abs())
+    classes = [g for _, g in rows.groupby(["pages", "times", "vector"])]
+    classes.sort(key=lambda g: (-int(g["pages"].iloc[0]), int(g["times"].iloc[0]), int(g["level"].max())))
+    template = {_key("")}
     out: list[int] = []
     for group in classes:
-        tags = sorted((t for t in group["tag"] if isinstance(t, str)), key=lambda t: t.count("/"))
-        nested = []
-        for tag in tags:
-            above = tag.removesuffix("/end").rpartition("/")[0]
-            if above in template or above in nested:
-                nested.append(tag)
-        template.update(t for t in nested if not t.endswith("/end"))
-        known = set(nested)
-        out += [int(k) for k, t in zip(group["token"], group["tag"]) if not isinstance(t, str) or t in known]
+        tags = group[group["depth"] != 0].sort_values("level", kind="stable")
+        nested = 0
+        for token, above, depth in zip(tags["token"], tags["above"], tags["depth"]):
+            if above in template:
+                out.append(int(token))
+                nested += 1
+                if depth > 0:
+                    template.add(int(token))
+        if nested:
+            texts = group[group["depth"] == 0]
+            out += [int(k) for k, above in zip(texts["token"], texts["above"]) if above in template]
     return out
 
 
@@ -223,14 +241,28 @@ def _template(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"host": frame["host"].iloc[:1], "template": [keys.tobytes()]})
 
 
+def _marked(path: str, template: frozenset[int]) -> bool:
+    """Whether an article or main tag of the template stands in ``path``."""
+    names = path.split("/")
+    return any(
+        name.partition(".")[0] in MAIN and _key("/".join(names[: k + 1])) in template
+        for k, name in enumerate(names)
+    )
+
+
 def main_text(source: str, template: frozenset[int]) -> str:
     """Content slots of a page, in page order."""
     page = Page(source)
-    kept = [b for b in page.blocks if not b[2]]
-    inside = [b for b in kept if b[3]]
-    if inside:
-        return " ".join(b[0] for b in inside)
-    return " ".join(b[0] for b in kept if _key("#" + b[0]) not in template)
+    slots = [b for b in page.blocks if not b[2]]
+    marked = {t for t in set(page.tags) if t.rpartition("/")[2].partition(".")[0] in MAIN and _key(t) in template}
+    if marked:
+        within = {path: _marked(path, template) for path in {b[1] for b in slots}}
+        chosen = [b for b in slots if within[b[1]]]
+    else:
+        chosen = [b for b in slots if b[3]] or slots
+    if template:
+        chosen = [b for b in chosen if _key(_text_token(b[0], b[1])) not in template]
+    return " ".join(b[0] for b in chosen)
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,15 +288,17 @@ def templates(pages: DataFrame, page_id: str = "page_id", url: str = "url", sour
     own = pages.select(
         host_of(F.col(url)).alias("host"), F.xxhash64(page_id, url).alias("page"), F.col(source).alias("html")
     )
-    kind = "host string, token long, tag string, pages long, times long, vector long"
+    kind = "host string, token long, above long, depth long, pages long, times long, vector long"
     tokens = own.mapInArrow(_occurrences, kind).groupBy("host", "token").agg(
-        F.max("tag").alias("tag"), F.sum("pages").alias("pages"), F.sum("times").alias("times"),
-        F.bit_xor("vector").alias("vector"),
+        F.first("above").alias("above"), F.first("depth").alias("depth"), F.sum("pages").alias("pages"),
+        F.sum("times").alias("times"), F.bit_xor("vector").alias("vector"),
     )
-    sizes = own.groupBy("host").agg(F.count(F.lit(1)).alias("all_pages"))
+    # copies of one page say nothing about a template
+    contents = own.groupBy("host", F.xxhash64("html").alias("content")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = contents.groupBy("host").agg(F.sum("n").alias("all_pages"), F.count(F.lit(1)).alias("contents"))
     # at most 1 / COVER times the tokens of an average page are left for a host
-    wide = tokens.join(sizes, "host").where(
-        (F.col("all_pages") >= LEAST_PAGES) & (F.col("pages") >= COVER * F.col("all_pages"))
+    wide = tokens.where(F.col("pages") >= COVER * LEAST_PAGES).join(sizes, "host").where(
+        (F.col("contents") >= LEAST_PAGES) & (F.col("pages") >= COVER * F.col("all_pages"))
     )
     return wide.groupBy("host").applyInPandas(_template, "host string, template binary")
 

@@ -158,3 +158,41 @@ def test_main_text_of_marked_up_pages():
     )
     assert webpages.main_text(source, frozenset()) == "Title One bold & two three Four a b"
     assert webpages.main_text("a &lt;b&gt; < 3", frozenset()) == "a <b> < 3"
+
+
+def test_classes_decide_inside_articles(spark):
+    def blog(k, extra=""):
+        return (
+            f"<body><article><h1>Title {k}</h1><div class='by'>By the staff</div><p>Story {k}</p>"
+            + "".join(f"<p class='note'>Note</p><p>Part {k} {j}</p>" for j in range(k % 3 + 1))
+            + f"{extra}</article><div><article class='teaser{k}'>Teaser {k}</article></div></body>"
+        )
+
+    rows = [(k, f"http://b.org/{k}", blog(k, "<p>Said often</p>" if k % 3 else "")) for k in range(12)]
+    rows += [(50 + k, f"http://same.org/{k}", blog(7)) for k in range(8)]
+    rows += [(90, "http://few.org/", blog(4))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    texts = {r.page_id: r.text for r in webpages.extract(pages).collect()}
+    # once-a-page and repeated classes go, text without tags of its own and the teaser's place do not count
+    assert texts[3] == "Title 3 Story 3 Part 3 0"
+    assert texts[4] == "Title 4 Story 4 Part 4 0 Part 4 1 Said often"
+    assert texts[90] == "Title 4 By the staff Story 4 Note Part 4 0 Note Part 4 1 Said often Teaser 4".replace(" Said often", "")
+    assert "By the staff" in texts[50]  # copies of one page make no template
+
+    frame = webpages.pd.concat(
+        b.to_pandas()
+        for b in webpages._occurrences(iter([webpages.pa.RecordBatch.from_pydict(
+            {"host": ["h"] * 12, "page": list(range(12)), "html": [r[2] for r in rows[:12]]}
+        )]))
+    )
+    frame = frame[frame["pages"] >= 6]
+    whole = frozenset(webpages.valid_tokens(frame))
+    assert webpages.main_text(rows[3][2], whole) == texts[3]
+    lost = frame[frame["depth"] == 0].index  # other vectors: the texts leave the classes of their tags
+    other = frame.assign(vector=frame["vector"].where(~frame.index.isin(lost), frame["vector"] + 1))
+    assert "By the staff" in webpages.main_text(rows[3][2], frozenset(webpages.valid_tokens(other)))
+    assert "Note" in webpages.main_text(rows[3][2], frozenset(webpages.valid_tokens(other)))
+    bare = frame[frame["depth"] == 0]
+    assert webpages.valid_tokens(bare) == []
+    tag = webpages._key("/body/article")
+    assert "Teaser 3" in webpages.main_text(rows[3][2], whole - {tag})
