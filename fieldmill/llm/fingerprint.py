@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLES = 32
+SAMPLES = 64
 DRAWS = 4096
 TOGETHER = 8  # samples of one aggregation row; more make a method too long to compile
 RANGE_ROWS = 500
@@ -49,12 +49,14 @@ def sample_code(slot: int) -> Column:
     """The logarithm that a term enters sample ``_g * TOGETHER + slot`` with.
 
     It depends on the term, the sample and t alone, so the smallest one names (term, t).
+    ``_k`` is the hash of term and ``_g`` with TOGETHER free values below it. A word that
+    occurs once has t = 0, as b is less than 1.
     """
-    h = f"xxhash64(term, _g, {slot})"
+    h = f"xxhash64(_k + {slot}L)"
     r = f"gammas[CAST({h} & {DRAWS - 1}L AS INT)]"
     log_c = f"logs[CAST(shiftright({h}, 12) & {DRAWS - 1}L AS INT)]"
     b = f"((shiftright({h}, 24) & 1048575L) / 1048576D)"
-    return F.expr(f"{log_c} - {r} * (floor(log_weight / {r} + {b}) - {b} + 1)")
+    return F.expr(f"{log_c} - {r} * (IF(log_weight = 0D, 0L, floor(log_weight / {r} + {b})) - {b} + 1)")
 
 
 def _words(df: DataFrame, text: str) -> DataFrame:
@@ -103,6 +105,9 @@ def signatures(df: DataFrame, text: str, samples: int = SAMPLES) -> DataFrame:
         _table([math.log(q) for q in quantiles]).alias("logs"),
         F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("_g"),
     )
+    spread = F.shiftleft(F.xxhash64("term", "_g"), TOGETHER.bit_length() - 1)
+    # no word, no code
+    terms = terms.withColumn("_k", F.when(F.col("term").isNotNull(), spread))
     codes = [F.min(sample_code(k)).alias(f"_s{k}") for k in range(TOGETHER)]
     found = terms.groupBy(*rest, "_g").agg(*codes)
     none = F.lit(0).cast("long")

@@ -93,6 +93,22 @@ def test_samples_collide_like_the_weights(spark):
             assert abs(share - jaccard(texts[a], texts[b])) < 0.1
 
 
+def test_likeness_error_at_the_production_count(spark):
+    n = fingerprint.SAMPLES
+    assert n >= 64
+    # words that occur once, and words that occur more often
+    texts = [" ".join(f"w{(k * 7 + i) % (20 + 9 * k)}" for i in range(120)) for k in range(16)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "k long, text string")
+    got = {r.k: r.signature for r in fingerprint.signatures(frame, "text").collect()}
+    assert {len(v) for v in got.values()} == {n}
+    pairs = [(a, b) for a in range(16) for b in range(a)]
+    real = [jaccard(texts[a], texts[b]) for a, b in pairs]
+    off = [sum(x == y for x, y in zip(got[a], got[b])) / n - j for (a, b), j in zip(pairs, real)]
+    want = sum(j * (1 - j) / 64 for j in real) / len(pairs)
+    assert sum(e * e for e in off) / len(pairs) < 1.5 * want
+    assert max(map(abs, off)) < 4.5 * 0.0625
+
+
 def test_edited_texts_follow_descending_ids(spark, odd, empty):
     rows = [(k * 3 % 1301, f"é{k} " + "word " * (k % 11)) for k in range(1300)]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
