@@ -12,6 +12,7 @@ from ..plans import behaviour, fraud, lending, mails, network, trending
 from .base import Tables, day, register, rounded
 from .scalars import STOPWORDS, _CLEAN_SQL, _HEADER_SQL, _STOP_SQL
 from .aggregates import _DEGREE_NAMES, _DEGREES_SQL
+from .models import ROUNDS
 from .standins import EDGES_SQL, LIFE_SQL, LOANS_SQL, LOG_SQL, TREND_SQL, edges, loans, log, trend
 from .standins import mails as mail_rows
 from .windows import _trailing_sql, PERIODS
@@ -133,7 +134,7 @@ _FRAUD = fraud.FraudSettings(
     categorical_features=["kind"],
     label="label",
     time_column="month",
-    booster={"maxIter": 4, "maxDepth": 3},
+    booster={"maxIter": ROUNDS, "maxDepth": 3},
 )
 
 
@@ -231,7 +232,7 @@ def behaviour_job(t: Tables) -> DataFrame:
     table = behaviour.feature_table(calls, edges(t))
     report = behaviour.run(
         table, ["n_connections", "n_unique_nodes", "avg_global_source_degrees", "max_global_dest_degrees"],
-        0.29, maxIter=4, maxDepth=3,
+        0.29, maxIter=ROUNDS, maxDepth=3,
     )
     return report.thresholds
 

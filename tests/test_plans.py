@@ -144,6 +144,17 @@ def test_behaviour_job(spark):
     assert best[3] == 1.0 and best[12] < 1
 
 
+def test_boosters_of_the_jobs_stop_by_validation(spark):
+    from fieldmill.catalog import jobs
+
+    assert jobs.ROUNDS == jobs._FRAUD.booster["maxIter"] == 200
+    rng = random.Random(8)
+    rows = [(f"g{g}", rng.randrange(9), rng.random() < 0.4) for g in range(300)]
+    table = spark.createDataFrame(rows, "_id string, n_connections int, is_anomaly boolean")
+    report = behaviour.run(table, ["n_connections"], 0.5, maxIter=jobs.ROUNDS, maxDepth=3)
+    assert 1 <= report.model.stages[-1].getNumTrees < jobs.ROUNDS
+
+
 def test_lending_job(spark):
     rows = [("x" if i % 2 else None, "Rare" if i == 0 else "City", "Y" if i % 3 else "0",
              "$1,000.50 ", "NY", "NY" if i % 2 else None, 2.0 if i % 5 == 0 else None,
