@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, fingerprint, langid, neardup, packing, quality, sharding, toxicity, webpages
+from . import audit, chat, decontam, fingerprint, langid, neardup, packing, periodic, quality
+from . import sharding, toxicity, webpages
 from .common import fold
 
 
@@ -118,6 +119,31 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.filter_audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    edited = docs.select(
+        "doc_id", periodic.with_planted_period(F.col("text"), F.col("doc_id")).alias("text")
+    )
+    found = periodic.periodic_runs(edited).withColumn("best", periodic.strongest("runs"))
+    lines = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n"))
+    )
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_html_extraction": op2_html_extraction,
@@ -129,6 +155,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_document_fingerprints": op8_document_fingerprints,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -235,5 +263,103 @@ WITH RECURSIVE words AS (
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, t.top AS component_id,
        s.doc_id = t.top AS kept
 FROM sets s JOIN tops t ON s.doc_id = t.x
+""",
+    "op12_filter_audit": r"""
+WITH known AS (
+    SELECT doc_id, max(CAST(quality = 1 AS INTEGER)) AS good, max(CAST(toxic = 1 AS INTEGER)) AS toxic
+    FROM labels GROUP BY doc_id
+), words AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), failing AS (
+    SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+           concat(CASE WHEN len(w) < 200 THEN 'A' ELSE '' END,
+                  CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END,
+                  CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 3 * length(t)
+                       THEN 'C' ELSE '' END,
+                  CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END,
+                  CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END) AS fails
+    FROM words LEFT JOIN known USING (doc_id)
+), kinds AS (
+    SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failing GROUP BY part, fails
+), letters AS (
+    SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f
+), orders AS (
+    SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), steps AS (
+    SELECT filter_order, step, substr(filter_order, step, 1) AS f, substr(filter_order, 1, step - 1) AS before
+    FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+), hits AS (
+    SELECT part, filter_order, step, f, n, good, toxic, fails,
+           contains(fails, f) AS own, length(translate(fails, before, '')) < length(fails) AS gone
+    FROM kinds, steps
+), sums AS (
+    SELECT part, filter_order, step, f,
+           sum(CASE WHEN NOT own AND NOT gone THEN n ELSE 0 END) AS kept,
+           sum(CASE WHEN own AND NOT gone THEN n ELSE 0 END) AS removed,
+           sum(CASE WHEN own AND gone THEN n ELSE 0 END) AS redundant,
+           sum(CASE WHEN fails = f THEN n ELSE 0 END) AS unique_fails,
+           sum(CASE WHEN own AND NOT gone THEN good ELSE 0 END) AS good_lost,
+           sum(CASE WHEN own AND NOT gone THEN toxic ELSE 0 END) AS toxic_lost
+    FROM hits GROUP BY part, filter_order, step, f
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept,
+       CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM sums
+""",
+    "op13_periodic_runs": r"""
+WITH words AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+           string_split(hex(encode(CAST(doc_id AS VARCHAR))), '') AS x
+    FROM documents
+), hashed AS (  -- fixed values: the CRC-32 of all 16 halves; low half of a byte first
+    SELECT doc_id, w, CAST(len(w) AS BIGINT) AS n, xor(list_reduce(
+        list_prepend(CAST(4294967295 AS BIGINT), CAST(flatten([[strpos('0123456789ABCDEF', x[2 * i]) - 1,
+            strpos('0123456789ABCDEF', x[2 * i - 1]) - 1] FOR i IN range(1, len(x) // 2 + 1)]) AS BIGINT[])),
+        lambda c, b: xor(c >> 4, CAST([0, 498536548, 997073096, 651767980, 1994146192, 1802195444,
+            1303535960, 1342533948, 3988292384, 4027552580, 3604390888, 3412177804, 2607071920,
+            2262029012, 2685067896, 3183342108][CAST(1 + (xor(c, b) & 15) AS INTEGER)] AS BIGINT))
+        ), 4294967295) AS h
+    FROM words
+), spread AS (
+    SELECT doc_id, w, n, h % 10 = 0 AND n > 0 AS edit, (h // 10) % greatest(n, 1) AS a,
+           1 + (n - (h // 10) % greatest(n, 1)) // (3 + (h // 10) % 8) AS p,
+           unnest(range(0, n)) AS i
+    FROM hashed
+), edited AS (
+    SELECT doc_id, n, i, w[1 + CASE WHEN edit AND i >= a THEN a + (i - a) % p ELSE i END] AS word FROM spread
+), pairs AS (
+    SELECT x.doc_id, y.i - x.i AS q, x.i AS i
+    FROM edited x JOIN edited y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+), islands AS (
+    SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS g FROM pairs
+), stretches AS (
+    SELECT doc_id, q, min(i) AS start, count(*) + q AS length
+    FROM islands GROUP BY doc_id, q, g HAVING count(*) + q >= greatest(6, 4 * q)
+), runs AS (  -- a power of a root is the same stretch with a larger period
+    SELECT doc_id, start, length, min(q) AS period FROM stretches GROUP BY doc_id, start, length
+), lists AS (
+    SELECT doc_id, count(*) AS n_runs,
+           string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS lines,
+           list({'s': start, 'l': length, 'p': period}
+                ORDER BY CAST(length AS DOUBLE) / period DESC, start, period)[1] AS best
+    FROM runs GROUP BY doc_id
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs
+), collapsed AS (
+    SELECT e.doc_id, string_agg(e.word, ' ' ORDER BY e.i) AS t
+    FROM edited e ANTI JOIN gone g ON e.doc_id = g.doc_id AND e.i = g.i GROUP BY e.doc_id
+)
+SELECT d.doc_id, CAST(coalesce(l.n_runs, 0) AS BIGINT) AS n_runs, CAST(l.best.s AS BIGINT) AS start,
+       CAST(l.best.l AS BIGINT) AS length, CAST(l.best.p AS BIGINT) AS period,
+       CAST(1000 * l.best.l // l.best.p AS BIGINT) AS exponent_milli,
+       sha256(coalesce(l.lines, '')) AS runs_sha256, sha256(coalesce(c.t, '')) AS collapsed_sha256
+FROM documents d LEFT JOIN lists l ON d.doc_id = l.doc_id LEFT JOIN collapsed c ON d.doc_id = c.doc_id
 """,
 }
