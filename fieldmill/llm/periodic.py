@@ -302,11 +302,11 @@ def with_planted_period(text: Column, doc_id: Column) -> Column:
     h = F.crc32(doc_id.cast("string"))
     g = F.floor(h / 10)
     words = F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")
-    n = F.size(words).cast("long")
-    a = g % F.greatest(n, F.lit(1))
-    p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))
-    edited = F.transform(
-        words,
-        lambda w, i: F.when(i < a, w).otherwise(F.get(words, (a + (i - a) % p).cast("int"))),
-    )
+    n = F.size(words)
+    a = (g % F.greatest(n, F.lit(1))).cast("int")
+    p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))).cast("int")
+    # whole arrays: a lambda would split the text again for every word
+    periods = F.ceil((n - a) / p).cast("int")
+    rest = F.flatten(F.array_repeat(F.slice(words, a + 1, p), periods))
+    edited = F.slice(F.concat(F.slice(words, F.lit(1), a), rest), F.lit(1), n)
     return F.when(h % 10 == 0, F.array_join(edited, " ")).otherwise(text)
