@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audit, chat, decontam, fingerprint, langid, neardup, packing, periodic, quality
-from . import sharding, toxicity, webpages
+from . import audit, chat, decontam, fingerprint, langid, neardup, ngramjoin, packing, periodic
+from . import quality, sharding, toxicity, webpages
 from .common import fold
 
 
@@ -119,6 +119,10 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngramjoin.ngram_join(table(spark, folder, "documents")).drop("text_hash")
+
+
 def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     return audit.filter_audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -155,6 +159,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_document_fingerprints": op8_document_fingerprints,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op11_ngram_jaccard_join": op11_ngram_jaccard_join,
     "op12_filter_audit": op12_filter_audit,
     "op13_periodic_runs": op13_periodic_runs,
 }
@@ -263,6 +268,36 @@ WITH RECURSIVE words AS (
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, t.top AS component_id,
        s.doc_id = t.top AS kept
 FROM sets s JOIN tops t ON s.doc_id = t.x
+""",
+    "op11_ngram_jaccard_join": r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), sets AS (
+    SELECT doc_id, CASE
+        WHEN len(w) = 0 THEN []
+        WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)])
+        END AS s
+    FROM words
+), items AS (
+    SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets
+), links AS (
+    SELECT a.doc_id AS x, b.doc_id AS y
+    FROM items a JOIN items b ON a.g = b.g AND a.doc_id <> b.doc_id AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n
+    HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach AS (
+    SELECT doc_id AS x, doc_id AS y FROM documents
+    UNION
+    SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+), least AS (
+    SELECT x, min(y) AS component_id FROM reach GROUP BY x
+)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, l.component_id
+FROM sets s JOIN least l ON s.doc_id = l.x
 """,
     "op12_filter_audit": r"""
 WITH known AS (
