@@ -6,15 +6,18 @@
    groups of step 3 small.
 2. Documents with equal sets are one class. A pair of classes at or above the wanted
    similarity shares one of the first n - ceil(t n) + 1 shingles of each.
-3. Classes that share a prefix shingle and fit in length are chained, in order of size,
-   to the first of their chain: m classes give m - 1 candidate edges. Expected large
-   groups are split by a salt, and the chains of the parts are chained in turn.
-4. Each class is first verified against the head it shares most prefix shingles with,
-   which settles groups of near copies in linear work. What a connected set of
-   candidates still has in several parts is cut into blocks of a bounded number of
-   shingles: everything outside the largest part meets everything else, by a prefix
-   index with length, positional and suffix filter. A pair is verified at most once
-   there, and not at all if links already connect it.
+   A pair also shares MATCHES of the first n - ceil(t n) + MATCHES, if it shares so many.
+3. Classes that share a prefix shingle and fit in length form a chain in order of size. In
+   a chain of at most SMALL classes each meets the others; pairs that meet MATCHES times
+   are candidates. A longer chain of m classes gives m - 1 edges to its first one.
+   Expected large groups are split by a salt, and the chains of their parts are chained.
+4. Each class is first verified against one other, of its candidates and heads the one it
+   shares most prefix shingles with, which settles groups of near copies in linear work.
+   Then follow the candidates that are still unconnected. What longer chains connect and
+   links do not is cut into blocks of a bounded number of shingles: everything outside the
+   largest part meets everything else, by a prefix index with length, positional and
+   suffix filter. A pair is verified at most once in each of these steps, and not at all
+   if links already connect it.
 5. Components of the verified links are the result.
 
 Nothing is capped: more classes make more chains, more blocks and more tasks.
@@ -38,16 +41,18 @@ CELLS = 1 << 22
 SEGMENT = 1 << 18
 STEPS = 10  # levels for each doubling of the estimated frequency
 SALT_ROWS = 1 << 16
+MATCHES = 4
+SMALL = 16
 BLOCK_SHINGLES = 1 << 18
 CLASS_WEIGHT = 64  # counted in a block for each class besides its shingles
 PIVOTS = 7
 COUNTS = "segment long, counts binary"
-CHAINED = "token long, a long, b long, lo long, hi long"
+CHAINED = "token long, a long, b long, lo long, hi long, is_long boolean"
 
 
-def prefix_length(sizes: np.ndarray, share: int) -> np.ndarray:
-    """How many of the first shingles a pair at the wanted similarity must share one of."""
-    return sizes - (share * sizes + 99) // 100 + 1
+def prefix_length(sizes: np.ndarray, share: int, matches: int = 1) -> np.ndarray:
+    """How many first shingles hold ``matches`` common ones of a pair that has so many."""
+    return np.minimum(sizes - (share * sizes + 99) // 100 + matches, sizes)
 
 
 def least_overlap(x: int, y: np.ndarray, share: int) -> np.ndarray:
@@ -107,6 +112,8 @@ def ordered_sets(hashes: np.ndarray, at: np.ndarray, levels: np.ndarray) -> np.n
 
 
 def _sketch(width: int, share: int, shared):
+    salt_rows = SALT_ROWS
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # prefixes of equal sets leave a task once
         for batch in _blocks(batches):
@@ -118,12 +125,12 @@ def _sketch(width: int, share: int, shared):
                 if (node := int(nodes[r])) not in seen:
                     seen.add(node)
                     new[r] = True
-            wanted = np.where(new, prefix_length(sizes, share), 0)
+            wanted = np.where(new, prefix_length(sizes, share, MATCHES), 0)
             places = ordered_sets(hashes, at, shared.value)
             inner = np.arange(len(places)) - np.repeat(at[:-1], sizes)
             tokens = places[inner < np.repeat(wanted, sizes)]
             expected = np.exp2((tokens >> A.U(56)).astype(float) / STEPS)
-            salts = np.ceil(expected / SALT_ROWS).astype(np.uint64)
+            salts = np.ceil(expected / salt_rows).astype(np.uint64)
             salt = np.repeat(names[:, 1], wanted) % salts
             keys = A.mixed(tokens + salt * A.U(0x9E3779B97F4A7C15)).view(np.int64)
             split = np.where(salts > 1, tokens.view(np.int64), 0)
@@ -144,67 +151,86 @@ def _sketch(width: int, share: int, shared):
     return run
 
 
-def _chains(share: int):
-    """Edges to the head of each chain, and the spans of chains that are parts of a group.
+def _chains(share: int, parts: bool):
+    """Pairs of short chains, edges of long ones to their head, spans of chains that are parts.
 
-    Rows come sorted by (key, lo). A row belongs to the chain before it if some size of
-    the chain may be similar to its smallest one.
+    Rows come sorted by (key, lo, node). A row belongs to the chain before it if some size
+    of the chain may be similar to its smallest one. With ``parts`` the rows are spans of
+    chains and every chain is long, as are those of the parts of a split group.
     """
 
+    small = SMALL  # carried into the tasks
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # the open chain: key, token, lo, hi, head
-        for batch in batches:
-            columns = [
-                batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64)
-                for c in ("key", "token", "lo", "hi", "node")
-            ]
-            if held is not None:
-                columns = [np.concatenate([[h], c]) for h, c in zip(held, columns)]
-            key, token, lo, hi, node = columns
+        names = ("key", "token", "lo", "hi", "node", "long")
+        held = [np.zeros(0, np.int64) for _ in names]  # the open chain, a long one as its head
+        for batch in _and_end(batches):
+            rows = held
+            if batch is not None:
+                new = [batch.column(c).to_numpy(zero_copy_only=False) for c in names[:5]]
+                new.append(np.full(len(new[0]), int(parts)))
+                rows = [np.concatenate([h, n]).astype(np.int64) for h, n in zip(held, new)]
+            key, token, lo, hi, node, long = rows
             if not len(key):
                 continue
+            once = np.ones(len(key), bool)  # equal sets of several tasks follow each other
+            once[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1]) | (lo[1:] != lo[:-1])
+            key, token, lo, hi, node, long = (v[once] for v in (key, token, lo, hi, node, long))
             group = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]]))
-            # running largest size within each key
             top = np.maximum.accumulate((group << 40) + hi) - (group << 40)
             fresh = np.ones(len(key), bool)
             fresh[1:] = (key[1:] != key[:-1]) | (100 * top[:-1] < share * lo[1:])
-            heads = np.flatnonzero(fresh)
-            head = node[heads][np.cumsum(fresh) - 1]
-            linked = node != head
-            last = np.append(heads[1:], len(key)) - 1
-            done = (token[heads] != 0)[:-1]
-            held = [key[-1], token[-1], lo[heads[-1]], top[-1], node[heads[-1]]]
-            ends, starts = last[:-1][done], heads[:-1][done]
-            zero = np.zeros(int(linked.sum()), np.int64)
+            first = np.flatnonzero(fresh)
+            chain, last = np.cumsum(fresh) - 1, np.append(first[1:], len(key)) - 1
+            is_long = np.maximum.reduceat(long, first) + (last - first >= small) + (token[first] != 0) > 0
+            closed = np.ones(len(first), bool)
+            closed[-1] = batch is None
+            head = node[first][chain]
+            out = is_long[chain] & (node != head)
+            pairs = [(np.zeros(out.sum(), np.int64), node[out], head[out], out[out])]
+            short = ~is_long & closed
+            for d in range(1, small):
+                at = np.flatnonzero(short[chain[d:]] & (chain[d:] == chain[:-d])) + d
+                at = at[100 * lo[at - d] >= share * lo[at]]
+                pairs.append((np.zeros(len(at), np.int64), node[at], node[at - d], np.zeros(len(at), bool)))
+            ends = np.flatnonzero(closed & (token[first] != 0))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate(v))
-                    for v in (
-                        (zero, token[starts]),
-                        (node[linked], node[starts]),
-                        (head[linked], node[starts]),
-                        (zero, lo[starts]),
-                        (zero, top[ends]),
-                    )
+                    pa.array(np.concatenate([*(p[0] for p in pairs), token[first[ends]]])),
+                    pa.array(np.concatenate([*(p[1] for p in pairs), node[first[ends]]])),
+                    pa.array(np.concatenate([*(p[2] for p in pairs), node[first[ends]]])),
+                    pa.array(np.concatenate([*(p[0] for p in pairs), lo[first[ends]]])),
+                    pa.array(np.concatenate([*(p[0] for p in pairs), top[last[ends]]])),
+                    pa.array(np.concatenate([*(p[3] for p in pairs), np.ones(len(ends), bool)])),
                 ],
-                ["token", "a", "b", "lo", "hi"],
-            )
-        if held is not None and held[1]:
-            row = [held[1], held[4], held[4], held[2], held[3]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([int(v)], pa.int64()) for v in row], ["token", "a", "b", "lo", "hi"]
+                ["token", "a", "b", "lo", "hi", "is_long"],
             )
+            a = first[-1]
+            if is_long[-1]:
+                held = [v[a : a + 1].copy() for v in (key, token, lo, hi, node, long)]
+                held[3][:], held[5][:] = top[-1], 1
+            else:
+                held = [v[a:] for v in (key, token, lo, hi, node, long)]
 
     return run
 
 
-def _chained(rows: DataFrame, share: int) -> DataFrame:
+def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    yield from batches
+    yield None
+
+
+def _chained(rows: DataFrame, share: int, parts: bool = False) -> DataFrame:
     dealt = rows.repartition("key").sortWithinPartitions("key", "lo", "node")
-    return dealt.mapInArrow(_chains(share), CHAINED)
+    return dealt.mapInArrow(_chains(share, parts), CHAINED)
 
 
 def candidate_edges(sketches: DataFrame, share: int) -> tuple[DataFrame, str]:
-    """(a, b, shared): class a belongs to a chain headed by b, in ``shared`` prefix groups."""
+    """(a, b, shared, is_long): classes that meet in ``shared`` chains; is_long: in a long one.
+
+    Pairs of short chains alone are left out if they meet less than MATCHES times, or less
+    often than sets of their sizes need common shingles.
+    """
     cells = (
         sketches.where(F.size("keys") > 0)
         .select("node", "n_shingles", F.explode(F.arrays_zip("keys", "tokens")).alias("c"))
@@ -220,9 +246,20 @@ def candidate_edges(sketches: DataFrame, share: int) -> tuple[DataFrame, str]:
     parts = first.where("token <> 0").select(
         F.col("token").alias("key"), F.lit(0).cast("long").alias("token"), "lo", "hi", F.col("a").alias("node")
     )
-    edges = first.where("token = 0").unionByName(_chained(parts, share))
-    counted = edges.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
-    out = stage(counted)
+    edges = first.where("token = 0").unionByName(_chained(parts, share, parts=True))
+    counted = edges.groupBy("a", "b").agg(
+        F.count(F.lit(1)).alias("shared"), F.max("is_long").alias("is_long")
+    )
+    sizes = sketches.where(F.size("keys") > 0).select("node", F.col("n_shingles").alias("n")).distinct()
+    few = counted.where((F.col("shared") < MATCHES) & ~F.col("is_long"))
+    need = F.ceil(F.lit(share) * (F.col("n") + F.col("m")) / F.lit(100 + share))
+    few = (
+        few.join(sizes.where(F.col("n") < 2 * MATCHES).withColumnRenamed("node", "a"), "a")
+        .join(sizes.withColumnRenamed("node", "b").withColumnRenamed("n", "m"), "b")
+        .where(F.col("shared") >= need)
+        .select(counted.columns)
+    )
+    out = stage(counted.where((F.col("shared") >= MATCHES) | F.col("is_long")).unionByName(few))
     discard(sketches.sparkSession, first_path)
     return out
 
@@ -242,13 +279,8 @@ def _full_sets(width: int, shared):
             kept = batch.take(pa.array(same, pa.int64()))
             sets = [places[at[r] : at[r + 1]].tobytes() for r in same]
             yield pa.RecordBatch.from_arrays(
-                [
-                    kept.column("node"),
-                    kept.column("set_key"),
-                    kept.column("cluster"),
-                    pa.array(sets, pa.binary()),
-                ],
-                ["node", "set_key", "cluster", "places"],
+                [kept.column("node"), kept.column("set_key"), pa.array(sets, pa.binary())],
+                ["node", "set_key", "places"],
             )
 
     return run
@@ -393,10 +425,8 @@ def _block_links(share: int):
     return run
 
 
-def star_links(sets: DataFrame, edges: DataFrame, members: DataFrame, share: int, block: int) -> DataFrame:
-    """Links of classes with the head they share most prefix shingles with."""
-    pairs = edges.groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("head"))
-    pairs = pairs.withColumnRenamed("a", "node")
+def pair_links(sets: DataFrame, pairs: DataFrame, members: DataFrame, share: int, block: int) -> DataFrame:
+    """Links among the pairs (node, head); a head with many pairs meets them in several tasks."""
     sizes = members.select("node", "n_shingles")
     parts = (
         pairs.join(sizes, "node")
@@ -420,27 +450,33 @@ def star_links(sets: DataFrame, edges: DataFrame, members: DataFrame, share: int
     )
 
 
-def block_links(sets: DataFrame, members: DataFrame, linked: DataFrame, share: int, block: int) -> DataFrame:
-    """Links between the parts that ``linked`` leaves of each set of connected candidates."""
+def parts_of(members: DataFrame, linked: DataFrame) -> DataFrame:
+    """``members`` with the part of the links that each belongs to, at first its own."""
     roots = components(linked, "a", "b").select(F.col("node").alias("set_key"), "root")
-    known = members.join(roots, "set_key", "left").select(
-        "set_key",
-        "cluster",
-        (F.col("n_shingles") + CLASS_WEIGHT).alias("weight"),
-        F.coalesce("root", "set_key").alias("root"),
+    return members.join(roots, "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
+
+
+def block_links(sets: DataFrame, known: DataFrame, chains: DataFrame, share: int, block: int) -> DataFrame:
+    """Links between the parts that long chains connect and earlier links do not."""
+    clusters = components(chains, "a", "b").withColumnRenamed("root", "cluster")
+    known = known.join(clusters, "node").select(
+        "set_key", "cluster", "root", (F.col("n_shingles") + CLASS_WEIGHT).alias("weight")
     )
     parts = known.groupBy("cluster", "root").agg(F.sum("weight").alias("weight"))
-    clusters = parts.groupBy("cluster").agg(
-        F.max_by("root", F.struct("weight", "root")).alias("core"),
-        F.max("weight").alias("core_weight"),
-        F.sum("weight").alias("weight"),
-        F.count("root").alias("n"),
+    heaviest = parts.groupBy("cluster").agg(
+        F.max("weight").alias("core_weight"), F.sum("weight").alias("all_weight"), F.count("root").alias("n")
     )
-    clusters = clusters.where("n > 1").select(
-        "cluster",
-        "core",
-        F.ceil((F.col("weight") - F.col("core_weight")) / F.lit(block)).alias("outer"),
-        F.ceil(F.col("core_weight") / F.lit(block)).alias("inner"),
+    clusters = (
+        parts.join(heaviest.where("n > 1"), "cluster")
+        .where("weight = core_weight")
+        .groupBy("cluster", "core_weight", "all_weight")
+        .agg(F.min("root").alias("core"))
+        .select(
+            "cluster",
+            "core",
+            F.ceil((F.col("all_weight") - F.col("core_weight")) / F.lit(block)).alias("outer"),
+            F.ceil(F.col("core_weight") / F.lit(block)).alias("inner"),
+        )
     )
     own = F.xxhash64("set_key")
     dealt = (
@@ -456,7 +492,7 @@ def block_links(sets: DataFrame, members: DataFrame, linked: DataFrame, share: i
             "meets",
             F.when(F.col("is_core"), F.col("outer")).otherwise(F.col("outer") + F.col("inner")),
         )
-        .select("set_key", "root", "block", "meets")
+        .select("set_key", "cluster", "root", "block", "meets")
     )
     return (
         sets.join(dealt, "set_key")
@@ -516,7 +552,6 @@ def ngram_join(
     )
     sketches, sketches_path = stage(own.mapInArrow(_sketch(width, share, shared), sketch_type))
     edges, edges_path = candidate_edges(sketches, share)
-    clusters = components(edges, "a", "b").withColumnRenamed("root", "cluster")
     narrow, narrow_path = stage(
         sketches.select("doc_id", "text_hash", "n_shingles", "set_key", "node")
     )
@@ -532,15 +567,35 @@ def ngram_join(
         .withColumn("first_hash", F.coalesce("of_first", "of_any"))
         .drop("of_first", "of_any")
     )
-    members, members_path = stage(classes.join(clusters, "node"))
+    met = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    members, members_path = stage(classes.join(met, "node"))
     found = own["doc_id"].eqNullSafe(F.col("first_id")) & (own["text_hash"] == F.col("first_hash"))
     sets, sets_path = stage(
         own.join(members.hint("shuffle_hash"), found)
-        .select("text", "node", "set_key", "cluster")
-        .mapInArrow(_full_sets(width, shared), "node long, set_key binary, cluster long, places binary")
+        .select("text", "node", "set_key")
+        .mapInArrow(_full_sets(width, shared), "node long, set_key binary, places binary")
+    )
+    best = edges.groupBy("a").agg(F.max_by("b", F.col("shared")).alias("b"))
+    pairs, pairs_path = stage(best.select(F.col("a").alias("node"), F.col("b").alias("head")))
+    stars, stars_path = stage(pair_links(sets, pairs, members, share, block))
+    known, known_path = stage(parts_of(members, stars))
+    roots = known.select("node", "root")
+    open_pairs = (
+        edges.where("not is_long")
+        .select(F.col("a").alias("node"), F.col("b").alias("head"))
+        .join(roots, "node")
+        .join(roots.select(F.col("node").alias("head"), F.col("root").alias("of_head")), "head")
+        .where("root <> of_head")
+        .select("node", "head")
+        .join(pairs, ["node", "head"], "left_anti")
+    )
+    open_pairs, open_path = stage(open_pairs)
+    chains = edges.where("is_long").select("a", "b")
+    rest, rest_path = stage(
+        pair_links(sets, open_pairs, members, share, block).unionByName(
+            block_links(sets, known, chains, share, block)
+        )
     )
-    stars, stars_path = stage(star_links(sets, edges, members, share, block))
-    rest, rest_path = stage(block_links(sets, members, stars, share, block))
     roots, roots_path = stage(
         components(stars.unionByName(rest), "a", "b").withColumnRenamed("node", "set_key")
     )
@@ -550,7 +605,10 @@ def ngram_join(
             "set_key", F.coalesce("top", "first_id").alias("component_id")
         )
     )
-    for path in (edges_path, members_path, sets_path, stars_path, rest_path, roots_path, classes_path):
+    for path in (
+        edges_path, members_path, sets_path, pairs_path, stars_path, known_path, open_path,
+        rest_path, roots_path, classes_path,
+    ):
         discard(spark, path)
     narrow = narrow.drop("node")
     out = (

@@ -33,11 +33,17 @@ def test_components_equal_brute_force(spark):
     rows = corpus(11, 220)
     rows += [(1000 + k, t) for s in (1, 2) for k, t in enumerate(near_group(s, 40), 100 * s)]
     want = brute(rows, 5, 80)
-    assert grouped(spark, rows) == want
     assert grouped(spark, rows, block=300) == want  # parts of heads and many pairs of blocks
 
 
-@pytest.mark.parametrize("width, share", [(4, 60), (2, 90), (5, 100)])
+def test_short_and_long_chains(spark, monkeypatch):
+    rows = corpus(21, 200) + [(1000 + k, t) for k, t in enumerate(near_group(8, 50, 30))]
+    want = brute(rows, 5, 80)
+    monkeypatch.setattr(J, "SMALL", 2)
+    assert grouped(spark, rows, block=1500) == want
+
+
+@pytest.mark.parametrize("width, share", [(2, 65)])
 def test_other_widths_and_shares(spark, width, share):
     rows = corpus(5, 150)
     assert grouped(spark, rows, width=width, share=share) == brute(rows, width, share)
