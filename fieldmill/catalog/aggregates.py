@@ -9,7 +9,9 @@ from ..functions.numbers import is_true, safe_log
 from ..operators import profile as P
 from ..operators.graph import degrees, graph_features, graph_sizes, node_statistics
 from ..operators.ordered import approximate_quantiles, quantiles
+from ..operators.sketch import RANK_ERROR, quantile_sketches, united_quantiles
 from ..operators.split import split_sizes
+from ..session import staged
 from .base import Tables, as_long, day, moment, register, rounded
 from .standins import (
     EDGES_SQL,
@@ -302,6 +304,41 @@ def quantiles_approximate(t: Tables) -> DataFrame:
     return approximate_quantiles(t.lineitem, "l_extendedprice", {"p50": 0.5, "p90": 0.9}, ["l_returnflag"])
 
 
+@register(
+    "d23_united_quantile_sketches",
+    """SELECT c AS "column", count(*) AS n, CAST(s AS DOUBLE) AS share, true AS rank_within_error
+    FROM lineitem, (SELECT unnest(['l_quantity', 'l_extendedprice']) AS c), (SELECT unnest([0.01, 0.25, 0.5, 0.9, 0.99]) AS s)
+    GROUP BY c, s""",
+)
+def united_quantile_sketches(t: Tables) -> DataFrame:
+    """Quantiles from sketches by month, written, read back and united; ranks from all rows."""
+    columns, shares = ["l_quantity", "l_extendedprice"], [0.01, 0.25, 0.5, 0.9, 0.99]
+    rows = t.lineitem.withColumn("month", F.date_trunc("month", "l_shipdate"))
+    found = united_quantiles(staged(quantile_sketches(rows, columns, ["month"])), shares)
+    estimates = [(r["column"], r["share"], r["estimate"]) for r in found.collect()]
+    ranks = rows.agg(
+        F.array(
+            *(
+                F.struct(
+                    F.lit(c).alias("column"),
+                    F.count(c).alias("n"),
+                    F.lit(s).alias("share"),
+                    F.sum((F.col(c) < e).cast("long")).alias("below"),
+                    F.sum((F.col(c) <= e).cast("long")).alias("upto"),
+                )
+                for c, s, e in estimates
+            )
+        ).alias("all")
+    ).select(F.explode("all").alias("r")).select("r.*")
+    wanted, error = F.col("share") * F.col("n"), F.lit(RANK_ERROR) * F.col("n") + 1
+    return ranks.select(
+        "column",
+        "n",
+        "share",
+        ((F.col("below") <= wanted + error) & (F.col("upto") >= wanted - error)).alias("rank_within_error"),
+    )
+
+
 @register(
     "d24_fill_values",
     f"""WITH {GAPS_SQL}, c AS (SELECT event_type AS value, count(*) AS n FROM gaps WHERE event_type IS NOT NULL GROUP BY 1),

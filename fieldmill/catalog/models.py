@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from ..functions.numbers import portable_hash
 from ..functions.text import cleaned, kept_tokens
 from ..learn import model as M
+from ..learn import trees as R
 from ..learn import tune as N
 from ..learn.evaluate import ranking_metrics
-from ..session import scratch_path
+from ..session import scratch_path, staged
 from .base import Tables, register
 from .scalars import STOPWORDS
 
@@ -105,6 +106,59 @@ def boosted_regressor(t: Tables) -> DataFrame:
     return _guessed(M.predicted(model, test), "n_words")
 
 
+_VAL_SQL = f"""WITH {_ROWS_SQL} SELECT count(*) AS rows, CAST({{rounds}} AS BIGINT) AS rounds, true AS loss_agrees,
+    true AS least_before_stop{{extra}} FROM labelled WHERE draw < 2"""
+PATIENCE = 25
+
+
+def _curve_facts(curves: DataFrame, of_cut: DataFrame) -> DataFrame:
+    """For each written curve (by ``value``) its rows and rounds, whether the cut model has the
+    loss that the curve states for its best round, and whether that is the first least loss
+    up to the stop."""
+    best = R.patient_best(curves, PATIENCE, ["value"]).withColumnRenamed("loss", "best_loss")
+    seen = F.col("round") <= F.col("stopped_at")
+    facts = curves.join(best, "value").groupBy("value").agg(
+        F.max("n").alias("rows"),
+        F.count("*").alias("rounds"),
+        F.min(F.when(seen, F.struct("loss", "round")))["round"].alias("least"),
+        F.max("best_round").alias("best_round"),
+        F.max("best_loss").alias("best_loss"),
+    )
+    return facts.join(of_cut, "value").select(
+        "value",
+        "rows",
+        "rounds",
+        (F.abs(F.col("cut_loss") - F.col("best_loss")) < 1e-6 * (1 + F.col("best_loss"))).alias("loss_agrees"),
+        (F.col("least") == F.col("best_round")).alias("least_before_stop"),
+    )
+
+
+def _patient_facts(curve: DataFrame, of_cut: DataFrame) -> DataFrame:
+    one = F.lit(0.0).alias("value")
+    return _curve_facts(curve.select("*", one), of_cut.select("*", one)).drop("value")
+
+
+@register("m3_patient_classifier", _VAL_SQL.format(rounds=ROUNDS, extra=""))
+def patient_classifier(t: Tables) -> DataFrame:
+    """Boosted classes with a patience of PATIENCE rounds, cut back to the best round."""
+    train, val = _parts(t)
+    learner = M.boosted_classifier("label", maxIter=ROUNDS, maxDepth=3)
+    model, curve = R.fit_patient(train, val, learner, NUMERIC, CATEGORICAL, PATIENCE, invalid="keep")
+    right = F.when(F.col("label") == 1, F.col("p")).otherwise(1 - F.col("p"))
+    of_cut = M.scored(model, val, "p").agg(F.avg(-2 * F.log(right)).alias("cut_loss"))
+    return _patient_facts(curve, of_cut)
+
+
+@register("m4_patient_regressor", _VAL_SQL.format(rounds=ROUNDS, extra=""))
+def patient_regressor(t: Tables) -> DataFrame:
+    train, val = _parts(t)
+    learner = M.boosted_regressor("n_words", maxIter=ROUNDS, maxDepth=3)
+    model, curve = R.fit_patient(train, val, learner, NUMERIC, CATEGORICAL, PATIENCE, invalid="keep")
+    error = F.col("n_words") - F.col("prediction")
+    of_cut = M.predicted(model, val).agg(F.avg(error * error).alias("cut_loss"))
+    return _patient_facts(curve, of_cut)
+
+
 def _words(t: Tables) -> DataFrame:
     words = t.documents.select("doc_id", "lang", F.split(cleaned("text"), " ").alias("w"))
     return words.withColumn("w", kept_tokens("w", STOPWORDS))
@@ -162,6 +216,41 @@ def importances(t: Tables) -> DataFrame:
     )
 
 
+@register(
+    "m7_structural_importances",
+    f"""WITH {_ROWS_SQL} SELECT unnest(['n_chars', 'letters', 'capitals', 'symbols', 'distinct', 'lang_ind']) AS feature,
+    CAST({TREES} AS BIGINT) AS trees, CAST(count(*) AS DOUBLE) AS rows_at_root, true AS uses_agree, true AS depth_fits
+    FROM labelled WHERE draw < 8""",
+)
+def structural_importances(t: Tables) -> DataFrame:
+    """Roots, uses and depths of every feature, held against the node table itself."""
+    model, _ = _fitted(t, M.forest_classifier("label", numTrees=TREES, subsamplingRate=1.0, bootstrap=False))
+    nodes = staged(R.with_depth(R.node_table(model.stages[-1], t.spark)))
+    names = model.stages[-2].getInputCols()
+    table = R.importance_table(nodes, names)
+    roots = nodes.where("depth = 0").agg(F.count("*").alias("n"), F.avg("n_rows").alias("rows")).first()
+    uses = (
+        nodes.where(F.col("feature") != R.LEAF)
+        .groupBy(F.col("feature").alias("code"))
+        .agg(F.count("*").alias("splits"), F.min("depth").alias("least"))
+    )
+    code = F.create_map(*(x for k, n in enumerate(names) for x in (F.lit(n), F.lit(k))))
+    return (
+        table.withColumn("code", code[F.col("feature")])
+        .join(uses, "code", "left")
+        .select(
+            "feature",
+            F.lit(roots["n"]).alias("trees"),
+            F.lit(roots["rows"]).alias("rows_at_root"),
+            (F.col("uses") == F.coalesce("splits", F.lit(0))).alias("uses_agree"),
+            (
+                (F.col("mean_least_depth") >= F.coalesce("least", F.lit(0)))
+                & ((F.col("as_root") > 0) == (F.coalesce("least", F.lit(1)) == 0))
+            ).alias("depth_fits"),
+        )
+    )
+
+
 def _parts(t: Tables) -> tuple[DataFrame, DataFrame]:
     df = _labelled(t).where("not is_test")
     return df.where("not is_val"), df.where("is_val")
@@ -182,6 +271,26 @@ def search(t: Tables) -> DataFrame:
     )
 
 
+@register(
+    "n1_adaptive_search",
+    f"WITH {_ROWS_SQL} SELECT CAST(20 AS BIGINT) AS trials, count(*) AS rows, true AS best_found, true AS above_constant FROM labelled WHERE draw < 2",
+)
+def adaptive_search(t: Tables) -> DataFrame:
+    """Adaptive search in batches of four; the best model scored again on the validation rows."""
+    train, val = _parts(t)
+    best, trials = N.search(
+        train, val, NUMERIC, CATEGORICAL, "label", SPACE, rounds=20, parallelism=4, adaptive=True
+    )
+    scores = M.scored(N.refit(train, NUMERIC, CATEGORICAL, "label", best), val, "score")
+    again = ranking_metrics(scores, "score", "label").first()["roc_auc"]
+    return trials.agg(
+        F.count("*").alias("trials"),
+        F.lit(scores.count()).alias("rows"),
+        (F.abs(F.max("score") - again) < 1e-9).alias("best_found"),
+        (F.max("score") > 0.6).alias("above_constant"),
+    )
+
+
 @register("n2_cross_validation", "SELECT true AS above_constant")
 def cross_validation(t: Tables) -> DataFrame:
     auc = N.cross_validated_auc(
@@ -204,6 +313,34 @@ def sweep(t: Tables) -> DataFrame:
     return out.select("param", "value", "best_iter", (F.col("score") > 0.6).alias("above_constant"))
 
 
+RATES = [0.05, 0.1, 0.3]
+
+
+@register(
+    "n3_rate_sweep",
+    f"""WITH {_ROWS_SQL}, facts AS (SELECT count(*) AS rows FROM labelled WHERE draw < 2)
+    SELECT 'stepSize' AS param, CAST(v AS DOUBLE) AS value, rows, CAST(100 AS BIGINT) AS rounds, true AS loss_agrees,
+    true AS least_before_stop, true AS above_constant FROM facts, (SELECT unnest({RATES}) AS v)""",
+)
+def rate_sweep(t: Tables) -> DataFrame:
+    """Best iteration for each learning rate, its loss held against the written curves."""
+    train, val = _parts(t)
+    out, curves = N.sweep_rounds(
+        train, val, NUMERIC, CATEGORICAL, "label", "stepSize", RATES, 100, PATIENCE,
+        invalid="keep", fixed={"maxDepth": 3},
+    )
+    stated = out.select("value", "param", "score", F.col("loss").alias("cut_loss"))
+    share = val.agg(F.avg("label")).first()[0]  # average precision of a constant guess
+    return (
+        _curve_facts(curves, stated)
+        .join(stated, "value")
+        .select(
+            "param", "value", "rows", "rounds", "loss_agrees", "least_before_stop",
+            (F.col("score") > share).alias("above_constant"),
+        )
+    )
+
+
 @register(
     "n4_leaderboard",
     """WITH s AS (SELECT l_suppkey AS trial, CAST(sum(l_linenumber) AS DOUBLE) / sum(l_quantity) AS score FROM lineitem GROUP BY 1)

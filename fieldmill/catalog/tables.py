@@ -35,7 +35,9 @@ from ..operators.profile import (
     static_table,
     top_groups,
 )
+from ..operators.sketch import DISTINCT_BITS, distinct_sketches, united_distincts
 from ..operators.split import pinned_entity_split, sampled, sampled_rows
+from ..session import staged
 from .base import Tables, as_long, day, moment, register, rounded
 from .standins import GAPS_SQL, STATIC_SQL, LOANS_SQL, LOG_SQL, TREND_SQL, gaps, loans, log, trend
 
@@ -487,6 +489,33 @@ def approximate_distinct(t: Tables) -> DataFrame:
     )
 
 
+@register(
+    "d3_united_distinct_sketches",
+    """WITH v AS (SELECT 'user_id' AS "column", CAST(user_id AS VARCHAR) AS value FROM events
+    UNION ALL SELECT 'value', CAST(value AS VARCHAR) FROM events
+    UNION ALL SELECT 'event_type', event_type FROM events)
+    SELECT "column", count(*) AS rows, count(DISTINCT value) AS distinct_values, true AS within_error FROM v GROUP BY 1""",
+)
+def united_distinct_sketches(t: Tables) -> DataFrame:
+    """Sketches of every column by day, written, read back and united; against exact counts."""
+    columns = ["user_id", "value", "event_type"]
+    daily = staged(distinct_sketches(t.events.withColumn("day", F.to_date("ts")), columns, ["day"]))
+    exact = distinct_counts(t.events, columns).first()
+    counted = F.create_map(*(x for c in columns for x in (F.lit(c), F.lit(exact[c]).cast("long"))))
+    # three standard errors, and the spread of very few values
+    allowed = 3 * F.lit(1.04 / 2 ** (DISTINCT_BITS / 2)) * F.col("distinct_values") + 1
+    return (
+        united_distincts(daily)
+        .withColumn("distinct_values", counted[F.col("column")])
+        .select(
+            "column",
+            "rows",
+            "distinct_values",
+            (F.abs(F.col("distinct_estimate") - F.col("distinct_values")) <= allowed).alias("within_error"),
+        )
+    )
+
+
 @register(
     "d13_ratio_of_totals",
     f"""WITH {TREND_SQL} SELECT category_id, round(sum(comment_count) / sum(views), 9) AS comments_views_ratio

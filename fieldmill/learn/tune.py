@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import portable_hash
-from ..session import kept
+from ..session import kept, staged
 from .evaluate import average_precision
 from .model import (
     bins_for,
@@ -28,26 +28,12 @@ from .model import (
     fit_pipeline,
     forest_classifier,
 )
+from .parzen import draw, propose
+from .trees import first_trees, patient_best, prefix_curve
 
 Space = Mapping[str, tuple]
 
 
-def draw(space: Space, rng: random.Random) -> dict:
-    """One random setting. ``("int", lo, hi)``, ``("float", lo, hi)`` or
-    ``("choice", [..])`` per parameter."""
-    out = {}
-    for name, (kind, *args) in space.items():
-        if kind == "int":
-            out[name] = rng.randint(*args)
-        elif kind == "float":
-            out[name] = rng.uniform(*args)
-        elif kind == "choice":
-            out[name] = rng.choice(args[0])
-        else:
-            raise ValueError(f"unknown parameter kind {kind!r}")
-    return out
-
-
 def _area(df: DataFrame, label: str) -> float:
     # numBins=0 keeps every distinct score instead of thinning the curve
     return BinaryClassificationEvaluator(
@@ -79,11 +65,13 @@ def search(
     seed: int = 200,
     parallelism: int = 2,
     fixed: Mapping | None = None,
+    adaptive: bool = False,
 ) -> tuple[dict, DataFrame]:
-    """Random search on a validation part.
+    """Search on a validation part, by random draws or adaptive proposals.
 
-    Features are encoded once and kept for all trials. Returns the best
-    parameters and a table of trials.
+    Features are encoded once and kept for all trials. Adaptive trials run in batches of
+    ``parallelism``; each batch is proposed from the scores of all earlier ones. Returns
+    the best parameters and a table of trials.
     """
     spark = train.sparkSession
     encoder = Pipeline(stages=feature_stages(numeric, categorical)).fit(train)
@@ -91,7 +79,8 @@ def search(
     fit_rows = kept(encoder.transform(train).select(*columns))
     val_rows = kept(encoder.transform(val).select(*columns))
     rng = random.Random(seed)
-    settings = [draw(space, rng) for _ in range(rounds)]
+    settings: list[dict] = []
+    results: list[tuple[float, float]] = []
 
     def trial(params: dict) -> tuple[float, float]:
         started = time.perf_counter()
@@ -101,7 +90,15 @@ def search(
 
     try:
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            results = list(pool.map(trial, settings))
+            while len(settings) < rounds:
+                left = rounds - len(settings)
+                if adaptive:
+                    scored = [(p, score) for p, (score, _) in zip(settings, results)]
+                    batch = propose(space, scored, rng, min(max(1, parallelism), left))
+                else:
+                    batch = [draw(space, rng) for _ in range(left)]
+                settings += batch
+                results += pool.map(trial, batch)
     finally:
         fit_rows.unpersist()
         val_rows.unpersist()
@@ -149,6 +146,58 @@ def sweep(
     )
 
 
+def sweep_rounds(
+    train: DataFrame,
+    val: DataFrame,
+    numeric: Sequence[str],
+    categorical: Sequence[str],
+    label: str,
+    parameter: str,
+    values: Sequence,
+    rounds: int,
+    patience: int = 50,
+    learner: Callable = boosted_classifier,
+    metric: str = "average_precision",
+    invalid: str = "skip",
+    fixed: Mapping | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Best iteration of a booster for each value of one parameter, such as ``stepSize``.
+
+    One fit of all rounds for each value; the losses of its prefixes on ``val`` come from
+    one pass. Returns (param, value, best_iter, stopped_at, loss, score, seconds), the score
+    being that of the model cut to its best iteration, and the written curves
+    (value, round, n, loss).
+    """
+    spark = train.sparkSession
+    encoder = Pipeline(stages=feature_stages(numeric, categorical, invalid)).fit(train)
+    fit_rows = kept(encoder.transform(train).select("features", label))
+    val_rows = kept(encoder.transform(val).select("features", label))
+    fits, curves = [], None
+    try:
+        for value in values:
+            started = time.perf_counter()
+            estimator = learner(label, **{**(fixed or {}), parameter: value, "maxIter": rounds})
+            model = estimator.fit(fit_rows, {estimator.maxBins: bins_for(encoder, estimator)})
+            fits.append((model, time.perf_counter() - started))
+            curve = prefix_curve(model, val_rows, label).withColumn("value", F.lit(float(value)))
+            curves = curve if curves is None else curves.unionByName(curve)
+        curves = staged(curves)
+        best = {r["value"]: r for r in patient_best(curves, patience, ["value"]).collect()}
+        rows = []
+        for value, (model, seconds) in zip(values, fits):
+            at = best[float(value)]
+            cut = first_trees(model, at["best_round"])
+            score = METRICS[metric](cut.transform(val_rows), label)
+            rows.append(
+                (parameter, float(value), at["best_round"], at["stopped_at"], at["loss"], float(score), seconds)
+            )
+    finally:
+        fit_rows.unpersist()
+        val_rows.unpersist()
+    fields = "param string, value double, best_iter int, stopped_at int, loss double, score double, seconds double"
+    return spark.createDataFrame(rows, fields), curves
+
+
 def cross_validated_auc(
     df: DataFrame,
     numeric: Sequence[str],
