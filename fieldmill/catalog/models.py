@@ -16,6 +16,7 @@ from ..learn import model as M
 from ..learn import trees as R
 from ..learn import tune as N
 from ..learn.evaluate import ranking_metrics
+from ..learn.power import class_counts, predictive_powers
 from ..session import scratch_path, staged
 from .base import Tables, register
 from .scalars import STOPWORDS
@@ -369,3 +370,54 @@ def refit_best(t: Tables) -> DataFrame:
 def predictive_power(t: Tables) -> DataFrame:
     power = N.predictive_power(_labelled(t), "distinct", "label", "doc_id")
     return power.select("feature", "target", (F.col("power") > 0).alias("above_constant"))
+
+
+_POWER_SQL = """WITH wide AS (SELECT doc_id, CAST(quality AS VARCHAR) AS class, CAST(length(text) AS DOUBLE) AS n_chars,
+    CAST(len(string_split(text, ' ')) AS DOUBLE) AS n_words,
+    CAST(len(list_distinct(string_split(text, ' '))) AS DOUBLE) AS n_distinct
+    FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL),
+    long AS (SELECT CAST(CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 4 AS INTEGER) AS fold, class,
+    unnest(['n_chars', 'n_words', 'n_distinct']) AS feature, unnest([n_chars, n_words, n_distinct]) AS value FROM wide)"""
+POWER_FEATURES = ["n_chars", "n_words", "n_distinct"]
+
+
+def _measured(t: Tables) -> DataFrame:
+    words = F.split("text", " ")
+    known = t.labels.where("quality is not null").select("doc_id", F.col("quality").alias("quality"))
+    return t.documents.join(known, "doc_id").select(
+        "doc_id",
+        "quality",
+        F.char_length("text").alias("n_chars"),
+        F.size(words).alias("n_words"),
+        F.size(F.array_distinct(words)).alias("n_distinct"),
+    )
+
+
+@register(
+    "p9_class_counts",
+    f"""{_POWER_SQL}, edges AS (SELECT feature, list_distinct(quantile_disc(value, [{", ".join(f"{k / 32}" for k in range(1, 32))}])) AS e
+    FROM long WHERE value IS NOT NULL GROUP BY 1)
+    SELECT feature, fold, CAST(len(list_filter(e, lambda x: x < value)) AS INTEGER) AS bin, class, count(*) AS n
+    FROM long JOIN edges USING (feature) WHERE value IS NOT NULL GROUP BY 1, 2, 3, 4""",
+)
+def power_counts(t: Tables) -> DataFrame:
+    return class_counts(_measured(t), POWER_FEATURES, "quality", "doc_id")
+
+
+@register(
+    "p9_predictive_powers",
+    f"""{_POWER_SQL}, sizes AS (SELECT feature, class, count(*) AS n FROM long WHERE value IS NOT NULL GROUP BY 1, 2)
+    SELECT feature, 'quality' AS target, CAST(sum(n) AS BIGINT) AS rows,
+    round(max(n) / sum(n) * 2 * max(n) / (max(n) + sum(n)), 6) AS naive_f1, true AS power_follows FROM sizes GROUP BY 1""",
+)
+def powers(t: Tables) -> DataFrame:
+    """Powers of all features at once; the power is the gain of the trees over the naive guess."""
+    found = predictive_powers(_measured(t), POWER_FEATURES, "quality", "doc_id")
+    gain = (F.col("model_f1") - F.col("naive_f1")) / (1 - F.col("naive_f1"))
+    return found.select(
+        "feature",
+        "target",
+        "rows",
+        F.round("naive_f1", 6).alias("naive_f1"),
+        (F.abs(F.col("power") - F.greatest(gain, F.lit(0.0))) < 1e-9).alias("power_follows"),
+    )
