@@ -5,9 +5,14 @@ Feature tables of the jobs are compared with SQL; fitted results are not.
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+from ..sources.config import save_settings
+from ..sources.writers import write_columnar
 from ..plans import behaviour, fraud, lending, mails, network, trending
 from .base import Tables, day, register, rounded
 from .scalars import STOPWORDS, _CLEAN_SQL, _HEADER_SQL, _STOP_SQL
@@ -21,6 +26,7 @@ from ..operators.trailing import CHANNEL_NAMES, GENERAL_NAMES
 
 # --- network log --------------------------------------------------------------
 
+TRIALS = 8
 _NETWORK = network.NetworkSettings(
     numerical_features=["duration", "orig_bytes", "orig_pkts", "orig_ip_bytes"],
     categorical_features=["proto", "service", "conn_state", "history"],
@@ -59,7 +65,8 @@ def network_features(t: Tables) -> DataFrame:
 
 @register("q1_network_job")
 def network_job(t: Tables) -> DataFrame:
-    return network.run(log(t), _NETWORK)[1]
+    """The whole job with its search of TRIALS settings."""
+    return network.run(log(t), dataclasses.replace(_NETWORK, tuning_rounds=TRIALS))[1]
 
 
 # --- trending videos ----------------------------------------------------------
@@ -102,16 +109,16 @@ def _job_sql() -> str:
     )
 
 
-@register("q2_trending_job", _job_sql())
-def trending_job(t: Tables) -> DataFrame:
-    """All steps of the trending table, from daily rows to the model table."""
+def _trending_inputs(t: Tables) -> tuple[DataFrame, DataFrame, trending.TrendingSettings]:
     categories = t.nation.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("title"))
     # the first row of a video is chosen by the original number, so keep it apart
     s = trending.TrendingSettings(
         **{**_TRENDING.__dict__, "base_columns": ["channel_title", "category_code", *_TRENDING.base_columns[2:], "category_id"]}
     )
-    rows = trend(t).withColumn("category_code", F.col("category_id"))
-    out = trending.run(rows, categories, s)
+    return trend(t).withColumn("category_code", F.col("category_id")), categories, s
+
+
+def _trending_result(out: DataFrame) -> DataFrame:
     names = [
         table[k].format(n=p)
         for table in (CHANNEL_NAMES, GENERAL_NAMES)
@@ -127,6 +134,24 @@ def trending_job(t: Tables) -> DataFrame:
     return rounded(out, *means, digits=4)
 
 
+@register("q2_trending_job", _job_sql())
+def trending_job(t: Tables) -> DataFrame:
+    """All steps of the trending table, from daily rows to the model table."""
+    return _trending_result(trending.run(*_trending_inputs(t)))
+
+
+@register("a11_job_from_settings", _job_sql())
+def job_from_settings(t: Tables) -> DataFrame:
+    """The trending job from a settings file, written to and read from the shared folder."""
+    rows, categories, s = _trending_inputs(t)
+    tables = trending.TrendingTables(scratch_path(t.spark, "rows"), scratch_path(t.spark, "categories"))
+    write_columnar(rows, tables.rows)
+    write_columnar(categories, tables.categories)
+    path = scratch_path(t.spark, "settings") + ".json"
+    save_settings(trending.TrendingJob(tables, s), path)
+    return _trending_result(trending.run_file(t.spark, path))
+
+
 # --- fraud table --------------------------------------------------------------
 
 _FRAUD = fraud.FraudSettings(
@@ -135,6 +160,7 @@ _FRAUD = fraud.FraudSettings(
     label="label",
     time_column="month",
     booster={"maxIter": ROUNDS, "maxDepth": 3},
+    tuning_rounds=TRIALS,
 )
 
 

@@ -24,7 +24,7 @@ from .scalars import STOPWORDS
 LEARNER_PARTS = 8
 NUMERIC = ["n_chars", "letters", "capitals", "symbols", "distinct"]
 CATEGORICAL = ["lang"]
-TREES, ROUNDS = 100, 200
+TREES, ROUNDS, PATIENT_ROUNDS = 100, 200, 100
 _ROWS_SQL = """labelled AS (SELECT doc_id, quality,
   CAST('0x' || substr(md5('model:' || CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 10 AS draw
   FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL)"""
@@ -139,21 +139,21 @@ def _patient_facts(curve: DataFrame, of_cut: DataFrame) -> DataFrame:
     return _curve_facts(curve.select("*", one), of_cut.select("*", one)).drop("value")
 
 
-@register("m3_patient_classifier", _VAL_SQL.format(rounds=ROUNDS, extra=""))
+@register("m3_patient_classifier", _VAL_SQL.format(rounds=PATIENT_ROUNDS, extra=""))
 def patient_classifier(t: Tables) -> DataFrame:
     """Boosted classes with a patience of PATIENCE rounds, cut back to the best round."""
     train, val = _parts(t)
-    learner = M.boosted_classifier("label", maxIter=ROUNDS, maxDepth=3)
+    learner = M.boosted_classifier("label", maxIter=PATIENT_ROUNDS, maxDepth=3)
     model, curve = R.fit_patient(train, val, learner, NUMERIC, CATEGORICAL, PATIENCE, invalid="keep")
     right = F.when(F.col("label") == 1, F.col("p")).otherwise(1 - F.col("p"))
     of_cut = M.scored(model, val, "p").agg(F.avg(-2 * F.log(right)).alias("cut_loss"))
     return _patient_facts(curve, of_cut)
 
 
-@register("m4_patient_regressor", _VAL_SQL.format(rounds=ROUNDS, extra=""))
+@register("m4_patient_regressor", _VAL_SQL.format(rounds=PATIENT_ROUNDS, extra=""))
 def patient_regressor(t: Tables) -> DataFrame:
     train, val = _parts(t)
-    learner = M.boosted_regressor("n_words", maxIter=ROUNDS, maxDepth=3)
+    learner = M.boosted_regressor("n_words", maxIter=PATIENT_ROUNDS, maxDepth=3)
     model, curve = R.fit_patient(train, val, learner, NUMERIC, CATEGORICAL, PATIENCE, invalid="keep")
     error = F.col("n_words") - F.col("prediction")
     of_cut = M.predicted(model, val).agg(F.avg(error * error).alias("cut_loss"))
@@ -327,7 +327,7 @@ def rate_sweep(t: Tables) -> DataFrame:
     """Best iteration for each learning rate, its loss held against the written curves."""
     train, val = _parts(t)
     out, curves = N.sweep_rounds(
-        train, val, NUMERIC, CATEGORICAL, "label", "stepSize", RATES, 100, PATIENCE,
+        train, val, NUMERIC, CATEGORICAL, "label", "stepSize", RATES, PATIENT_ROUNDS, PATIENCE,
         invalid="keep", fixed={"maxDepth": 3},
     )
     stated = out.select("value", "param", "score", F.col("loss").alias("cut_loss"))

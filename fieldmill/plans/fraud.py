@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from ..learn.evaluate import ranking_metrics
 from ..learn.model import boosted_classifier, fit_pipeline, scored
+from ..learn.tune import search
 from ..operators.clean import NullPolicy, zero_variance_columns
-from ..operators.split import time_split
+from ..operators.split import parts, time_split
 from ..session import scratch_path
 from ..sources.writers import write_columnar
 
@@ -29,6 +30,8 @@ class FraudSettings:
     booster: Mapping[str, object] = field(
         default_factory=lambda: {"maxIter": 20, "maxDepth": 4}
     )
+    tuning_rounds: int = 0
+    trial_trees: int = 20
 
 
 def prepared(raw: DataFrame, s: FraudSettings) -> DataFrame:
@@ -40,7 +43,11 @@ def prepared(raw: DataFrame, s: FraudSettings) -> DataFrame:
 
 
 def run(raw: DataFrame, s: FraudSettings) -> tuple[PipelineModel, DataFrame]:
-    """Fit with early stopping on the validation part; metrics on the test part."""
+    """Search on the validation part, fit with early stopping there; metrics on the test part.
+
+    Trials of the search have ``trial_trees`` trees; the settings found replace those of
+    ``booster`` for the final fit.
+    """
     table = write_columnar(
         prepared(raw, s), scratch_path(raw.sparkSession, "fraud"), partition_by=["split"]
     )
@@ -49,7 +56,16 @@ def run(raw: DataFrame, s: FraudSettings) -> tuple[PipelineModel, DataFrame]:
     learning = table.where(F.col("split") != "test").withColumn(
         "is_val", F.col("split") == "val"
     )
-    learner = boosted_classifier(s.label, "is_val", **s.booster)
+    params = dict(s.booster)
+    if s.tuning_rounds:
+        train, val = parts(table, "train", "val")
+        space = {"maxDepth": ("int", 2, 6), "stepSize": ("log", 0.03, 0.5)}
+        best, _ = search(
+            train, val, numeric, categorical, s.label, space, s.tuning_rounds, boosted_classifier,
+            "average_precision", adaptive=True, invalid="keep", fixed={"maxIter": s.trial_trees},
+        )
+        params |= best
+    learner = boosted_classifier(s.label, "is_val", **params)
     model = fit_pipeline(learning, learner, numeric, categorical, invalid="keep")
     test = scored(model, table.where("split = 'test'"), "score")
     return model, ranking_metrics(test, "score", s.label)

@@ -98,7 +98,7 @@ def run(raw: DataFrame, s: NetworkSettings) -> tuple[PipelineModel, DataFrame]:
         space = {"numTrees": ("int", 10, 500), "maxDepth": ("int", 2, 10)}
         params, _ = search(
             fit_part, val_part, numeric, categorical, "is_bad", space, s.tuning_rounds,
-            seed=s.seed,
+            seed=s.seed, adaptive=True,
         )
     learner = forest_classifier("is_bad", s.seed, **params)
     model = fit_pipeline(train, learner, numeric, categorical)

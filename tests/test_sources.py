@@ -13,7 +13,8 @@ from fieldmill.operators.joins import (
     mapped_from_dict,
     one_row_per_key,
 )
-from fieldmill.sources.config import load_settings
+from fieldmill.plans import trending
+from fieldmill.sources.config import load_settings, resolved, save_settings
 from fieldmill.sources.readers import read_categories, read_corpus, read_piped, read_quoted
 from fieldmill.sources.writers import write_columnar, write_delimited
 
@@ -73,6 +74,34 @@ def test_settings(tmp_path):
         load_settings(Settings, str(tmp_path / "s.json"))
 
 
+def test_nested_settings(spark, tmp_path):
+    tables, features = {"rows": "r"}, {
+        "ratio_features": {"a_to_b": ["a", "b"]},
+        "difference_features": {"days_to_trending": ["trending_date", "start"]},
+        "date_features": {"trending_date": ["weekday"]},
+        "base_columns": ["a", "a_to_b", "trending_date_weekday"],
+        "aggregate_windows": [7, 30],
+    }
+    job = resolved(trending.TrendingJob, {"tables": tables, "features": features})
+    assert job.tables.format == "parquet" and job.features.max_time_to_trending == 60
+    save_settings(job, str(tmp_path / "job.json"))
+    assert load_settings(trending.TrendingJob, str(tmp_path / "job.json")) == job
+    for raw, words in (
+        ({"tables": {"rows": "r", "odd": 1}, "features": features}, "tables.odd"),
+        ({"tables": {}, "features": features}, "tables.rows"),
+        ({"tables": "r", "features": features}, "tables"),
+    ):
+        with pytest.raises(ValueError, match=words):
+            resolved(trending.TrendingJob, raw)
+    columns = ["a", "b", "trending_date", "start", "video_id", "channel_title"]
+    trending.check_settings(job.features, columns)
+    with pytest.raises(ValueError, match="b .ratio_features"):
+        trending.check_settings(job.features, [c for c in columns if c != "b"])
+    job.features.base_columns.append("nowhere")
+    with pytest.raises(ValueError, match="nowhere .base_columns"):
+        trending.check_settings(job.features, columns)
+
+
 def test_lookups(spark):
     df = spark.createDataFrame([(1, "a"), (9, "b"), (None, "c")], "k int, v string")
     dim = spark.createDataFrame([(1, "one"), (2, "two")], "id int, title string")
