@@ -382,15 +382,15 @@ POWER_FEATURES = ["n_chars", "n_words", "n_distinct"]
 
 
 def _measured(t: Tables) -> DataFrame:
+    """Labelled texts by their measures, taken before the join so that no text is shuffled."""
     words = F.split("text", " ")
-    known = t.labels.where("quality is not null").select("doc_id", F.col("quality").alias("quality"))
-    return t.documents.join(known, "doc_id").select(
+    measures = t.documents.select(
         "doc_id",
-        "quality",
         F.char_length("text").alias("n_chars"),
         F.size(words).alias("n_words"),
         F.size(F.array_distinct(words)).alias("n_distinct"),
     )
+    return measures.join(t.labels.where("quality is not null").select("doc_id", "quality"), "doc_id")
 
 
 @register(
