@@ -6,9 +6,10 @@ t = floor(ln(weight) / r + b), and the word with the smallest
 ln c - r * (t - b + 1) gives the sample (word, t). Two texts agree in a sample with a
 chance of their generalised Jaccard similarity, sum(min) / sum(max) of the weights.
 
-The draws come from tables of gamma quantiles instead of logarithms of uniform numbers;
-the minimum of each sample is an ordinary aggregate. Documents
-are shuffled once, by ranges of their id; all further steps stay in these partitions.
+The draws come from tables of gamma quantiles instead of logarithms of uniform numbers, once
+for each word and count of a range of documents; the minimum of each sample is an ordinary
+aggregate over the rows that hold the word. Documents are shuffled once, by ranges of their
+id; all further steps stay in these partitions.
 """
 
 from __future__ import annotations
@@ -45,18 +46,25 @@ def _table(values: list[float]) -> Column:
     return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
 
 
-def sample_code(slot: int) -> Column:
-    """The logarithm that a term enters sample ``_g * TOGETHER + slot`` with.
+def with_codes(drawn: DataFrame, keep: list[str]) -> DataFrame:
+    """Columns ``keep`` and the TOGETHER logarithms that a term enters its samples ``_s`` with.
 
-    It depends on the term, the sample and t alone, so the smallest one names (term, t).
+    A code depends on the term, the sample and t alone, so the smallest one names (term, t).
     ``_k`` is the hash of term and ``_g`` with TOGETHER free values below it. A word that
-    occurs once has t = 0, as b is less than 1.
+    occurs once has t = 0, as b is less than 1. Hash and draws are columns of their own, each
+    computed once; the generated code stays short enough for the JVM to compile.
     """
-    h = f"xxhash64(_k + {slot}L)"
-    r = f"gammas[CAST({h} & {DRAWS - 1}L AS INT)]"
-    log_c = f"logs[CAST(shiftright({h}, 12) & {DRAWS - 1}L AS INT)]"
-    b = f"((shiftright({h}, 24) & 1048575L) / 1048576D)"
-    return F.expr(f"{log_c} - {r} * (IF(log_weight = 0D, 0L, floor(log_weight / {r} + {b})) - {b} + 1)")
+    more = [*keep, "term", "log_weight", "gammas", "logs"]
+    slots = range(TOGETHER)
+    drawn = drawn.select(*more, *[F.expr(f"xxhash64(_k + {k}L)").alias(f"_h{k}") for k in slots])
+    r = [F.expr(f"gammas[CAST(_h{k} & {DRAWS - 1}L AS INT)]").alias(f"_r{k}") for k in slots]
+    b = [F.expr(f"((shiftright(_h{k}, 24) & 1048575L) / 1048576D)").alias(f"_b{k}") for k in slots]
+    drawn = drawn.select(*more, *[f"_h{k}" for k in slots], *r, *b)
+    code = (
+        "IF(term IS NULL, NULL, logs[CAST(shiftright(_h{k}, 12) & {most}L AS INT)] - _r{k} *"
+        " (IF(log_weight = 0D, 0D, floor(log_weight / _r{k} + _b{k})) - _b{k} + 1))"
+    )
+    return drawn.select(*keep, *[F.expr(code.format(k=k, most=DRAWS - 1)).alias(f"_s{k}") for k in slots])
 
 
 def _words(df: DataFrame, text: str) -> DataFrame:
@@ -68,7 +76,7 @@ def _words(df: DataFrame, text: str) -> DataFrame:
 
 
 def weighted_terms(df: DataFrame, text: str) -> DataFrame:
-    """One row per distinct word hash of ``text``: term and its count, null without words.
+    """One row per distinct word hash of ``text``, term and its count, and one null row a text.
 
     Equal hashes lie together after sorting the array, so counts need no shuffle.
     """
@@ -84,40 +92,56 @@ def weighted_terms(df: DataFrame, text: str) -> DataFrame:
         "zip_with(_b, concat(slice(_b, 2, size(_b)), array(size(_h))),"
         " (a, e) -> IF(a IS NULL, NULL, struct(_h[a] AS term, e - a AS times)))"
     )
-    runs = F.when(F.size("_h") > 0, runs)
-    df = df.select(*rest, F.explode_outer(runs).alias("_r"))
+    # a text without words has no word begin, and zip_with fills up with a null there
+    runs = F.concat(F.expr("array(CAST(NULL AS struct<term: bigint, times: int>))"),
+                    F.filter(runs, lambda r: r.isNotNull()))
+    df = df.select(*rest, F.explode(runs).alias("_r"))
     return df.select(*rest, F.col("_r.term").alias("term"), F.col("_r.times").alias("times"))
 
 
-def signatures(df: DataFrame, text: str, samples: int = SAMPLES) -> DataFrame:
+def signatures(
+    df: DataFrame, text: str, samples: int = SAMPLES,
+    within: str | None = None, carried: tuple[str, ...] = (),
+) -> DataFrame:
     """``df`` with ``text`` replaced by ``signature``, an array of ``samples`` numbers.
 
-    The other columns must tell rows apart. Text without words: all zeros.
+    The columns besides ``text`` and ``carried`` must tell rows apart; ``carried`` are numbers
+    that go along. Text without words: all zeros. The draws of a word are made once for all
+    rows of one ``within`` (a bounded number of rows, by which ``df`` is partitioned); without
+    it rows are dealt to blocks by hash.
     """
     rest = [c for c in df.columns if c != text]
+    block = within or "_block"
+    if within is None:
+        count = max(1, df.count() // RANGE_ROWS)
+        df = df.withColumn(block, F.pmod(F.xxhash64(*rest), F.lit(count)))
+    keys = [c for c in rest if c != within and c not in carried]
+    first = [F.when(F.col("term").isNull(), F.col(c)).alias(c) for c in carried]
+    shared = weighted_terms(df, text).groupBy(block, "term", "times").agg(
+        F.collect_list(F.struct(*keys, *first)).alias("_rows")
+    )
     quantiles = gamma_quantiles()
     groups = -(-samples // TOGETHER)
-    terms = weighted_terms(df, text).select(
-        *rest,
-        "term",
+    spread = F.shiftleft(F.xxhash64("term", "_g"), TOGETHER.bit_length() - 1)
+    drawn = shared.select(
+        block, "_rows", "term",
         F.ln(F.col("times").cast("double")).alias("log_weight"),
         _table(quantiles).alias("gammas"),
         _table([math.log(q) for q in quantiles]).alias("logs"),
         F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("_g"),
     )
-    spread = F.shiftleft(F.xxhash64("term", "_g"), TOGETHER.bit_length() - 1)
-    # no word, no code
-    terms = terms.withColumn("_k", F.when(F.col("term").isNotNull(), spread))
-    codes = [F.min(sample_code(k)).alias(f"_s{k}") for k in range(TOGETHER)]
-    found = terms.groupBy(*rest, "_g").agg(*codes)
+    drawn = with_codes(drawn.withColumn("_k", spread), [block, "_g", "_rows"])
+    codes = [f"_s{k}" for k in range(TOGETHER)]
+    single = drawn.select(block, "_g", *codes, F.explode("_rows").alias("_r"))
+    single = single.select(block, "_g", *codes, "_r.*")
+    kept = [F.min(c).alias(c) for c in carried]
+    found = single.groupBy(block, *keys, "_g").agg(*[F.min(c).alias(c) for c in codes], *kept)
     none = F.lit(0).cast("long")
-    kept = [
-        F.when(F.col(f"_s{k}").isNull(), none).otherwise(F.xxhash64(f"_s{k}")) for k in range(TOGETHER)
-    ]
-    found = found.select(*rest, F.struct("_g", F.array(*kept).alias("codes")).alias("_c"))
-    whole = found.groupBy(*rest).agg(F.array_sort(F.collect_list("_c")).alias("_c"))
-    codes = F.slice(F.flatten(F.col("_c.codes")), 1, samples)
-    return whole.select(*rest, codes.alias("signature"))
+    values = [F.when(F.col(c).isNull(), none).otherwise(F.xxhash64(c)) for c in codes]
+    found = found.select(block, *keys, *carried, F.struct("_g", F.array(*values).alias("codes")).alias("_c"))
+    whole = found.groupBy(block, *keys).agg(F.array_sort(F.collect_list("_c")).alias("_c"), *kept)
+    signature = F.slice(F.flatten(F.col("_c.codes")), 1, samples)
+    return whole.select(*rest, signature.alias("signature"))
 
 
 def likeness(one: str, two: str, samples: int = SAMPLES) -> Column:
@@ -192,26 +216,30 @@ def fingerprints(
         F.substring(F.col("next"), F.lit(1), half),
     )
     rows = rows.withColumn("edited", edited)
-    none = F.lit(None).cast("string")
+    # the digest goes along as four numbers, which aggregates keep in place
+    digest = F.sha2("edited", 256)
+    parts = [f"sha{k}" for k in range(4)]
+    words = [F.conv(F.substring(digest, 16 * k + 1, 16), 16, -10).cast("long") for k in range(4)]
     sides = F.explode(
         F.array_compact(
             F.array(
-                F.struct(F.lit(0).alias("side"), F.col("text").alias("words"), none.alias("sha")),
+                F.struct(F.lit(0).alias("side"), F.col("text").alias("words"), *[F.lit(None).cast("long").alias(c) for c in parts]),
                 F.when(
                     F.col("copy") == 0,
-                    F.struct(F.lit(1).alias("side"), F.col("edited").alias("words"), F.sha2("edited", 256).alias("sha")),
+                    F.struct(F.lit(1).alias("side"), F.col("edited").alias("words"), *[w.alias(c) for w, c in zip(words, parts)]),
                 ),
             )
         )
     )
     rows = rows.select("part", "row", "copy", "doc_id", "n_chars", sides.alias("s"))
-    rows = rows.select("part", "row", "copy", "doc_id", "n_chars", "s.side", "s.sha", "s.words")
-    signed = signatures(rows, "words", samples)
+    rows = rows.select("part", "row", "copy", "doc_id", "n_chars", "s.*")
+    signed = signatures(rows, "words", samples, "part", ("copy", "doc_id", "n_chars", *parts))
+    sha = F.concat(*[F.lpad(F.lower(F.hex(c)), 16, "0") for c in parts])
     # of a document: its text, its edited text, then the next document's text
     follow = Window.partitionBy("part").orderBy("row", "side")
     out = signed.select(
         "doc_id", "n_chars", "copy", "side", "signature",
-        F.lead("sha").over(follow).alias("edited_sha256"),
+        F.lead(sha).over(follow).alias("edited_sha256"),
         F.lead("signature").over(follow).alias("edited"),
         F.coalesce(F.lead("signature", 2).over(follow), F.array_repeat(F.lit(0).cast("long"), samples)).alias("next"),
     ).where("side = 0 and copy = 0")
