@@ -6,10 +6,9 @@ t = floor(ln(weight) / r + b), and the word with the smallest
 ln c - r * (t - b + 1) gives the sample (word, t). Two texts agree in a sample with a
 chance of their generalised Jaccard similarity, sum(min) / sum(max) of the weights.
 
-The draws come from tables of gamma quantiles instead of logarithms of uniform numbers, once
-for each word and count of a range of documents; the minimum of each sample is an ordinary
-aggregate over the rows that hold the word. Documents are shuffled once, by ranges of their
-id; all further steps stay in these partitions.
+The draws come from tables of gamma quantiles instead of logarithms of uniform numbers;
+the minimum of each sample is an ordinary aggregate. Documents
+are shuffled once, by ranges of their id; all further steps stay in these partitions.
 """
 
 from __future__ import annotations
@@ -76,7 +75,7 @@ def _words(df: DataFrame, text: str) -> DataFrame:
 
 
 def weighted_terms(df: DataFrame, text: str) -> DataFrame:
-    """One row per distinct word hash of ``text``, term and its count, and one null row a text.
+    """One row per distinct word hash of ``text``: term and its count, null without words.
 
     Equal hashes lie together after sorting the array, so counts need no shuffle.
     """
@@ -92,54 +91,40 @@ def weighted_terms(df: DataFrame, text: str) -> DataFrame:
         "zip_with(_b, concat(slice(_b, 2, size(_b)), array(size(_h))),"
         " (a, e) -> IF(a IS NULL, NULL, struct(_h[a] AS term, e - a AS times)))"
     )
-    # a text without words has no word begin, and zip_with fills up with a null there
-    runs = F.concat(F.expr("array(CAST(NULL AS struct<term: bigint, times: int>))"),
-                    F.filter(runs, lambda r: r.isNotNull()))
-    df = df.select(*rest, F.explode(runs).alias("_r"))
+    runs = F.when(F.size("_h") > 0, runs)
+    df = df.select(*rest, F.explode_outer(runs).alias("_r"))
     return df.select(*rest, F.col("_r.term").alias("term"), F.col("_r.times").alias("times"))
 
 
 def signatures(
-    df: DataFrame, text: str, samples: int = SAMPLES,
-    within: str | None = None, carried: tuple[str, ...] = (),
+    df: DataFrame, text: str, samples: int = SAMPLES, carried: tuple[str, ...] = ()
 ) -> DataFrame:
     """``df`` with ``text`` replaced by ``signature``, an array of ``samples`` numbers.
 
     The columns besides ``text`` and ``carried`` must tell rows apart; ``carried`` are numbers
-    that go along. Text without words: all zeros. The draws of a word are made once for all
-    rows of one ``within`` (a bounded number of rows, by which ``df`` is partitioned); without
-    it rows are dealt to blocks by hash.
+    that go along outside the grouping key. Text without words: all zeros.
     """
     rest = [c for c in df.columns if c != text]
-    block = within or "_block"
-    if within is None:
-        count = max(1, df.count() // RANGE_ROWS)
-        df = df.withColumn(block, F.pmod(F.xxhash64(*rest), F.lit(count)))
-    keys = [c for c in rest if c != within and c not in carried]
-    first = [F.when(F.col("term").isNull(), F.col(c)).alias(c) for c in carried]
-    shared = weighted_terms(df, text).groupBy(block, "term", "times").agg(
-        F.collect_list(F.struct(*keys, *first)).alias("_rows")
-    )
+    keys = [c for c in rest if c not in carried]
     quantiles = gamma_quantiles()
     groups = -(-samples // TOGETHER)
     spread = F.shiftleft(F.xxhash64("term", "_g"), TOGETHER.bit_length() - 1)
-    drawn = shared.select(
-        block, "_rows", "term",
+    terms = weighted_terms(df, text).select(
+        *rest,
+        "term",
         F.ln(F.col("times").cast("double")).alias("log_weight"),
         _table(quantiles).alias("gammas"),
         _table([math.log(q) for q in quantiles]).alias("logs"),
         F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("_g"),
     )
-    drawn = with_codes(drawn.withColumn("_k", spread), [block, "_g", "_rows"])
+    drawn = with_codes(terms.withColumn("_k", spread), [*rest, "_g"])
     codes = [f"_s{k}" for k in range(TOGETHER)]
-    single = drawn.select(block, "_g", *codes, F.explode("_rows").alias("_r"))
-    single = single.select(block, "_g", *codes, "_r.*")
     kept = [F.min(c).alias(c) for c in carried]
-    found = single.groupBy(block, *keys, "_g").agg(*[F.min(c).alias(c) for c in codes], *kept)
+    found = drawn.groupBy(*keys, "_g").agg(*[F.min(c).alias(c) for c in codes], *kept)
     none = F.lit(0).cast("long")
     values = [F.when(F.col(c).isNull(), none).otherwise(F.xxhash64(c)) for c in codes]
-    found = found.select(block, *keys, *carried, F.struct("_g", F.array(*values).alias("codes")).alias("_c"))
-    whole = found.groupBy(block, *keys).agg(F.array_sort(F.collect_list("_c")).alias("_c"), *kept)
+    found = found.select(*rest, F.struct("_g", F.array(*values).alias("codes")).alias("_c"))
+    whole = found.groupBy(*keys).agg(F.array_sort(F.collect_list("_c")).alias("_c"), *kept)
     signature = F.slice(F.flatten(F.col("_c.codes")), 1, samples)
     return whole.select(*rest, signature.alias("signature"))
 
@@ -233,7 +218,7 @@ def fingerprints(
     )
     rows = rows.select("part", "row", "copy", "doc_id", "n_chars", sides.alias("s"))
     rows = rows.select("part", "row", "copy", "doc_id", "n_chars", "s.*")
-    signed = signatures(rows, "words", samples, "part", ("copy", "doc_id", "n_chars", *parts))
+    signed = signatures(rows, "words", samples, ("copy", "doc_id", "n_chars", *parts))
     sha = F.concat(*[F.lpad(F.lower(F.hex(c)), 16, "0") for c in parts])
     # of a document: its text, its edited text, then the next document's text
     follow = Window.partitionBy("part").orderBy("row", "side")
