@@ -197,7 +197,7 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 own = held.setdefault((host, token), [0, 0, 0, *place[token]])
                 own[0] += 1
                 own[1] += count
-                own[2] ^= _key(f"{number} {count}")
+                own[2] = (own[2] + _key(f"{number} {count}")) % (1 << 62)
         keys = {path: _key(path) for path in {v[3] for v in held.values()}}
         columns = [
             pa.array([h for h, _ in held], pa.string()),
@@ -291,8 +291,12 @@ def templates(pages: DataFrame, page_id: str = "page_id", url: str = "url", sour
     kind = "host string, token long, above long, depth long, pages long, times long, vector long"
     tokens = own.mapInArrow(_occurrences, kind).groupBy("host", "token").agg(
         F.first("above").alias("above"), F.first("depth").alias("depth"), F.sum("pages").alias("pages"),
-        F.sum("times").alias("times"), F.bit_xor("vector").alias("vector"),
+        F.sum("times").alias("times"),
+        # sums, as page hashes that are XORed cancel where rows repeat; by halves, against overflow
+        F.sum(F.col("vector").bitwiseAND((1 << 31) - 1)).alias("low"),
+        F.sum(F.shiftright("vector", 31)).alias("high"),
     )
+    tokens = tokens.withColumn("vector", F.xxhash64("low", "high")).drop("low", "high")
     # copies of one page say nothing about a template
     contents = own.groupBy("host", F.xxhash64("html").alias("content")).agg(F.count(F.lit(1)).alias("n"))
     sizes = contents.groupBy("host").agg(F.sum("n").alias("all_pages"), F.count(F.lit(1)).alias("contents"))

@@ -178,6 +178,9 @@ def test_classes_decide_inside_articles(spark):
     assert texts[4] == "Title 4 Story 4 Part 4 0 Part 4 1 Said often"
     assert texts[90] == "Title 4 By the staff Story 4 Note Part 4 0 Note Part 4 1 Said often Teaser 4".replace(" Said often", "")
     assert "By the staff" in texts[50]  # copies of one page make no template
+    for doubled in (pages.unionByName(pages), pages.unionByName(pages).unionByName(pages)):
+        again = webpages.extract(doubled).select("page_id", "text").distinct().collect()
+        assert {r.page_id: r.text for r in again} == texts and len(again) == len(texts)
 
     frame = webpages.pd.concat(
         b.to_pandas()
