@@ -113,15 +113,19 @@ def _sketch(width: int):
 
 def _full_sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()  # classes of this task; repeated rows bring a class again
         for whole in batches:
             _, offsets = A.text_bytes(whole.column("text"))
             for a, b in A.row_blocks(offsets, 4 * A.CHUNK):
                 batch = whole.slice(a, b - a)
                 hashes, at = shingle_sets(batch.column("text"), width)
                 found = [k.tobytes() for k in set_keys(hashes, at)]
-                same = np.flatnonzero(
-                    [x == y for x, y in zip(found, batch.column("set_key").to_pylist())]
-                )
+                same = []
+                for k, (x, y) in enumerate(zip(found, batch.column("set_key").to_pylist())):
+                    if x == y and x not in seen:
+                        seen.add(x)
+                        same.append(k)
+                same = np.array(same, np.int64)
                 bands = band_keys(hashes, at)[same]
                 sets = [hashes[at[r] : at[r + 1]].tobytes() for r in same]
                 kept = batch.take(pa.array(same))
@@ -233,11 +237,15 @@ def near_duplicates(
         sketches.where("n_shingles > 0")
         .groupBy("set_key")
         .agg(
-            F.min("doc_id").alias("first_id"),
+            # of a class the row with the smallest id speaks; rows without an id come last
+            F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("first"),
             F.any_value("node").alias("node"),
             F.any_value("n_shingles").alias("n_shingles"),
             F.any_value("bands").alias("bands"),
         )
+        .select("set_key", "first.doc_id", "first.text_hash", "node", "n_shingles", "bands")
+        .withColumnRenamed("doc_id", "first_id")
+        .withColumnRenamed("text_hash", "first_hash")
     )
     cells = classes.select("node", F.explode("bands").alias("band"))
     hubs = cells.groupBy("band").agg(F.min("node").alias("hub"), F.count("node").alias("n"))
@@ -250,7 +258,7 @@ def near_duplicates(
     clusters, clusters_path = stage(components(stars, "node", "hub"))
 
     members = classes.join(clusters, "node").select(
-        "set_key", "first_id", "n_shingles", F.col("root").alias("cluster")
+        "set_key", "first_id", "first_hash", "n_shingles", F.col("root").alias("cluster")
     )
     weights = members.groupBy("cluster").agg(
         F.ceil(F.sum(F.col("n_shingles") + DOC_WEIGHT) / F.lit(block)).alias("blocks")
@@ -260,7 +268,12 @@ def near_duplicates(
         "cluster long, blocks long, set_key binary, shingles binary, bands array<long>"
     )
     sets = (
-        own.join(members.hint("shuffle_hash"), own["doc_id"].eqNullSafe(members["first_id"]))
+        own.join(
+            members.hint("shuffle_hash"),
+            # the text's hash keeps rows of one id, or of none, from meeting each other's classes
+            (own["text_hash"] == members["first_hash"])
+            & own["doc_id"].eqNullSafe(members["first_id"]),
+        )
         .select("text", "set_key", "cluster", "blocks")
         .mapInArrow(_full_sets(width), sets_type)
     )

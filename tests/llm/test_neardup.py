@@ -87,3 +87,20 @@ def test_components_of_chains_and_stars(spark):
     assert {r.node: r.root for r in got} == {k: 0 for k in range(41)} | {100 + k: 100 for k in range(60)}
     none = spark.createDataFrame([], "a long, b long")
     assert components(none, "a", "b").select(F.count("node")).first()[0] == 0
+
+
+def test_rows_of_one_id_keep_their_own_classes(spark):
+    words = [[f"w{k}x{i}" for i in range(60)] for k in range(40)]
+    texts = [" ".join(w) for w in words] + [" ".join([*w[:-1], "end"]) for w in words]
+    rows = [(None if k % 2 else 5, t) for k, t in enumerate(texts)] + [(900, texts[0])] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = neardup.near_duplicates(docs).collect()
+    assert len(got) == len(rows)
+    # texts 2k and 2k + 40 are near copies under id 5, the odd ones have no id
+    assert {r.component_id for r in got if r.doc_id is not None} == {5}
+    assert {r.component_id for r in got if r.doc_id is None} == {None}
+    mixed = spark.createDataFrame(
+        [(7, texts[0]), (7, texts[1]), (3, texts[40]), (2, texts[41])], "doc_id long, text string"
+    )
+    found = {(r.doc_id, r.component_id) for r in neardup.near_duplicates(mixed).collect()}
+    assert found == {(7, 3), (7, 2), (3, 3), (2, 2)}
