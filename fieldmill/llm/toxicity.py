@@ -1,23 +1,32 @@
 """Toxicity from class-conditional Kneser-Ney word models.
 
-Labelled texts give bigram counts of the toxic and of the ordinary class. As in
-Kneser-Ney smoothing a word's weight is the number of different words it follows
-(continuation count), so a word that only repeats one phrase weighs little. Both classes
-back off to the same shared continuation counts: with x(e) = t_c * n_shared(e), what class
-c would have of an expression e if the classes did not differ, and n_c(e) what it has,
+Each class, toxic and ordinary, has a bigram model that backs off to its unigram model,
+which backs off to counts shared by both classes. As in Kneser-Ney smoothing an expression
+weighs by the different contexts it occurs in, not by how often it occurs: a word by the
+words it follows, a bigram by the pairs of words around it. A text that is copied, or a
+long passage, therefore adds little, while a fixed phrase in many texts shows in the
+bigrams at its ends. With x(e) what class c would have of an expression e if the next lower
+order said all, and n_c(e) what it has, each order multiplies the probability by
 
-    p_c(e) = p_shared(e) * (x(e) + d(n_c(e) - x(e)) + S) / (x(e) + S)
+    (x(e) + d(n_c(e) - x(e)) + S) / (x(e) + S)
 
 where d takes a discount off the difference, down to nothing: three deviations of the
-count and half of x. The usual constant discount leaves small chance differences of very
-many words; here a rare or neutral expression comes out alike in both classes. The score is a calibrated sigmoid of the difference of the two
-log-likelihoods over a text's different bigrams, divided by their number. Words are hashed to 2**22 cells, which bounds the model.
+count and half of x. For a word, x is the class's share of the shared count; for a bigram
+it is that share moved by the factors of its word. The usual constant discount leaves small
+chance differences of very many words; here a rare or neutral expression comes out alike in
+both classes. The score is a calibrated sigmoid of the difference of the two log-likelihoods
+over a text's different bigrams, divided by their number.
+
+Words are hashed to 2**22 cells; bigrams have 63-bit keys, and only those that more or fewer
+different texts of a class hold than the discount allows get contexts counted and a place in
+the model. Equal texts count once for each label.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import arrays as A
-from .common import ship_package
+from .common import discard, ship_package, stage
 from .labelled import labels_of, sigmoid
 
 CELLS = 22
@@ -37,6 +46,7 @@ SHARED = 1.0  # shared continuation counts that stand in for an expression's own
 FLUSH_PAIRS = 1 << 21
 CALIBRATION_ROWS = 20_000
 BROADCAST_ROWS = 4_000_000
+KEYED = "pair long, ordinary long, toxic long"
 WORD = A.byte_flags(r"[0-9A-Za-z]")
 WORD[128:] = True
 
@@ -68,80 +78,156 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield whole.slice(a, b - a)
 
 
-def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys, inverse = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-    marks = np.zeros(len(keys), np.int64)
-    np.bitwise_or.at(marks, inverse, np.concatenate([m for _, m in parts]))
-    return keys, marks
+def context_keys(words: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A hash of the words around each word's bigram: two before it and one after it."""
+    far, after = np.zeros(len(words), np.uint64), np.zeros(len(words), np.uint64)
+    far[2:], after[:-1] = words[:-2], words[1:]
+    full = np.diff(first) > 0
+    far[first[:-1][full]] = 0
+    far[first[:-1][np.diff(first) > 1] + 1] = 0
+    after[first[1:][full] - 1] = 0
+    return A.mixed(far * A.U(0x9E3779B97F4A7C15) + after)
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct bigrams of a task and the classes they occur in (1 ordinary, 2 toxic)."""
+def places_in(known: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``keys`` in the sorted array ``known`` and whether they are there."""
+    if not len(known):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    return at, known[at] == keys
+
+
+Counted = tuple[np.ndarray, np.ndarray]  # keys, and a row (ordinary, toxic) for each
+
+
+def _merged(parts: list[Counted], join: np.ufunc) -> Counted:
+    keys = np.concatenate([k for k, _ in parts])
+    order = np.argsort(keys, kind="stable")
+    lead = np.flatnonzero(np.diff(keys[order], prepend=-1))
+    if not len(lead):
+        return keys, np.zeros((0, 2), np.int32)
+    values = np.concatenate([v for _, v in parts])[order]
+    return keys[order][lead], join.reduceat(values, lead, axis=0)
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], part, join: np.ufunc) -> Iterator[pa.RecordBatch]:
+    """Keys of ``part(batch)`` with their two numbers, joined over a task in bounded memory."""
+
+    def out(held: Counted) -> pa.RecordBatch:
+        columns = [held[0], held[1][:, 0].astype(np.int64), held[1][:, 1].astype(np.int64)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["pair", "ordinary", "toxic"])
+
     held, size = [], 0
     for batch in _blocks(batches):
-        words, first = hashed_words(batch.column("text"))
-        toxic = np.array(batch.column("label").to_pylist(), np.int64)
-        mark = np.repeat(1 + toxic, np.diff(first))
-        held.append(_merged([(pair_keys(words, first), mark)]))
+        held.append(_merged([part(batch)], join))
         size += len(held[-1][0])
         if size > FLUSH_PAIRS:
-            held = [_merged(held)]
+            held = [_merged(held, join)]
             size = len(held[0][0])
             if size > FLUSH_PAIRS // 2:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in held[0]], ["pair", "mark"])
+                yield out(held[0])
                 held, size = [], 0
     if held:
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in _merged(held)], ["pair", "mark"])
+        yield out(_merged(held, join))
+
+
+def _class_marks(batch: pa.RecordBatch, row: np.ndarray) -> np.ndarray:
+    toxic = np.array(batch.column("label").to_pylist(), np.int32)[row]
+    return np.stack([1 - toxic, toxic], axis=1)
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bigrams of a task and how many of its texts of each class hold them."""
+
+    def part(batch: pa.RecordBatch) -> Counted:
+        row, pair, _, _ = _expressions(batch)
+        return pair, _class_marks(batch, row)
+
+    return _gathered(batches, part, np.add)
+
+
+def _contexts(shared, bits: int):
+    """Different contexts of the wanted bigrams: place and context in one key, classes as marks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def part(batch: pa.RecordBatch) -> Counted:
+            words, first = hashed_words(batch.column("text"))
+            at, known = places_in(shared.value, pair_keys(words, first))
+            context = (context_keys(words, first)[known] >> A.U(64 - bits)).astype(np.int64)
+            row = np.repeat(np.arange(len(first) - 1), np.diff(first))[known]
+            return at[known] << bits | context, _class_marks(batch, row)
+
+        return _gathered(batches, part, np.maximum)
+
+    return run
+
+
+@dataclass(frozen=True)
+class Order:
+    """Counts of one order of the two models, and each expression's gain from them."""
+
+    keys: np.ndarray  # sorted
+    counts: tuple[np.ndarray, np.ndarray]  # contexts in the ordinary and the toxic class
+    share: np.ndarray | float  # the part of a count that the lower order gives the toxic class
+    gain: np.ndarray  # ln of the toxic over the ordinary factor
+
+    def without(self, keys: np.ndarray, toxic: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """Gains of ``keys`` as if ``own`` contexts in their text's class had not been counted."""
+        at, known = places_in(self.keys, keys)
+        if not known.any():
+            return np.zeros(len(keys))
+        less = [np.maximum(c[at] - own * (toxic == k), 0) for k, c in enumerate(self.counts)]
+        share = self.share[at] if isinstance(self.share, np.ndarray) else self.share
+        ordinary, hostile = class_factors(*less, share)
+        return np.where(known, hostile - ordinary, 0.0)
+
+
+NO_ORDER = Order(np.zeros(0, np.int64), (np.zeros(0), np.zeros(0)), 0.5, np.zeros(0))
 
 
 @dataclass
 class ToxicityModel:
-    """Difference of the classes' log-probabilities per hashed word, and calibration."""
+    """Difference of the classes' log-probabilities per word and bigram, and calibration."""
 
-    at: np.ndarray  # sorted cells that have a difference
-    gain: np.ndarray
-    counts: tuple[np.ndarray, np.ndarray]  # continuation counts, ordinary and toxic
+    words: Order = NO_ORDER
+    pairs: Order = NO_ORDER
     weight: float = 0.0
     bias: float = 0.0
 
-    def table(self) -> np.ndarray:
+    @cached_property
+    def word_table(self) -> np.ndarray:
+        """Gain of every cell; built once where texts are scored, and gone with the model."""
         out = np.zeros(1 << CELLS, np.float32)
-        out[self.at] = self.gain
+        out[self.words.keys] = self.words.gain
         return out
 
     def scores(self, evidence: np.ndarray) -> np.ndarray:
         return sigmoid(self.weight * evidence + self.bias)
 
 
-def word_gains(ordinary: np.ndarray, toxic: np.ndarray, share: float) -> np.ndarray:
-    """ln p_toxic - ln p_ordinary of every word from its continuation counts.
+def class_factors(ordinary: np.ndarray, toxic: np.ndarray, share) -> tuple[np.ndarray, np.ndarray]:
+    """ln of the factors (ordinary, toxic) by which counts move the lower order's probability.
 
-    ``share`` is the part of all continuation counts that the toxic class has.
+    ``share`` is the part of the counts that the lower order gives the toxic class.
     """
     both = ordinary + toxic
-    out = np.zeros(len(both))
-    for own, expected, sign in ((toxic, both * share, 1), (ordinary, both * (1 - share), -1)):
+    out = []
+    for own, expected in ((ordinary, both * (1 - share)), (toxic, both * share)):
         discount = CHANCE * np.sqrt(both * share * (1 - share) + 1) + BLUR * expected
         rest = np.maximum(np.abs(own - expected) - discount, 0)
         own = expected + np.sign(own - expected) * rest
-        out += sign * np.log((own + SHARED) / (expected + SHARED))
-    return out
-
-
-def toxic_share(counts: tuple[np.ndarray, np.ndarray]) -> float:
-    return float(counts[1].sum() / max(counts[0].sum() + counts[1].sum(), 1))
-
+        out.append(np.log((own + SHARED) / (expected + SHARED)))
+    return out[0], out[1]
 
-_TABLES: dict[int, np.ndarray] = {}
 
-
-def _expressions(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, int]:
-    """Row and word cell of every different bigram of every text, and the rows."""
+def _expressions(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Row, key and number of contexts of every different bigram of every text, and the rows."""
     words, first = hashed_words(batch.column("text"))
     row = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    own = pair_keys(words, first).astype(np.uint64) + row.astype(np.uint64) * A.odd_numbers(1, 47)
-    lead = np.unique(own, return_index=True)[1]
-    return row[lead], cells(words)[lead], len(first) - 1
+    pair = pair_keys(words, first)
+    own = pair.astype(np.uint64) + row.astype(np.uint64) * A.odd_numbers(1, 47)
+    _, lead, times = np.unique(own, return_index=True, return_counts=True)
+    return row[lead], pair[lead], times, len(first) - 1
 
 
 def _mean(row: np.ndarray, gain: np.ndarray, rows: int) -> np.ndarray:
@@ -150,25 +236,20 @@ def _mean(row: np.ndarray, gain: np.ndarray, rows: int) -> np.ndarray:
 
 def _evidence(shared, batch: pa.RecordBatch) -> np.ndarray:
     model: ToxicityModel = shared.value
-    key = id(model)
-    if key not in _TABLES:
-        _TABLES.clear()
-        _TABLES[key] = model.table()
-    row, cell, rows = _expressions(batch)
-    return _mean(row, _TABLES[key][cell].astype(np.float64), rows)
+    row, pair, _, rows = _expressions(batch)
+    gain = model.word_table[pair >> PAIR_BITS].astype(np.float64)
+    at, known = places_in(model.pairs.keys, pair)
+    gain[known] += model.pairs.gain[at[known]]
+    return _mean(row, gain, rows)
 
 
 def _evidence_without_own(model: ToxicityModel, batch: pa.RecordBatch) -> np.ndarray:
-    """Evidence of counted texts as if their own words had not been counted."""
-    row, cell, rows = _expressions(batch)
-    keys, which, own = np.unique(row << CELLS | cell, return_inverse=True, return_counts=True)
-    toxic = np.array(batch.column("label").to_pylist(), np.int64)[keys >> CELLS]
-    cell = keys & ((1 << CELLS) - 1)
-    at = np.minimum(np.searchsorted(model.at, cell), max(len(model.at) - 1, 0))
-    known = model.at[at] == cell if len(model.at) else np.zeros(len(cell), bool)
-    less = [np.maximum(c[at] - own * (toxic == k), 0) for k, c in enumerate(model.counts)]
-    gain = np.where(known, word_gains(*less, toxic_share(model.counts)), 0.0)
-    return _mean(row, gain[which], rows)
+    """Evidence of counted texts as if their own words and bigrams had not been counted."""
+    row, pair, times, rows = _expressions(batch)
+    toxic = np.array(batch.column("label").to_pylist(), np.int64)
+    keys, which, own = np.unique(row << CELLS | pair >> PAIR_BITS, return_inverse=True, return_counts=True)
+    gain = model.words.without(keys & ((1 << CELLS) - 1), toxic[keys >> CELLS], own)[which]
+    return _mean(row, gain + model.pairs.without(pair, toxic[row], times), rows)
 
 
 def _measured(shared):
@@ -206,11 +287,65 @@ def fit_sigmoid(evidence: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     return float(beta[0] / scale), float(beta[1])
 
 
+def different_texts(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """(doc_id, label) of the smallest id of each different labelled text and label."""
+    hashed = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("text_hash"))
+    firsts = hashed.join(known, "doc_id").groupBy("text_hash", "label").agg(F.min("doc_id").alias("doc_id"))
+    return firsts.select("doc_id", "label")
+
+
+def word_order(pairs: DataFrame) -> Order:
+    """Unigram order: the different words that each word cell follows in each class."""
+    counts = pairs.groupBy(F.shiftright("pair", PAIR_BITS).alias("cell")).agg(
+        F.count_if(F.col("ordinary") > 0).alias("ordinary"), F.count_if(F.col("toxic") > 0).alias("toxic")
+    )
+    counts = counts.toArrow()
+    key = counts.column("cell").to_numpy()
+    order = np.argsort(key)
+    ordinary, toxic = (counts.column(c).to_numpy()[order].astype(float) for c in ("ordinary", "toxic"))
+    share = float(toxic.sum() / max(ordinary.sum() + toxic.sum(), 1))
+    low, high = class_factors(ordinary, toxic, share)
+    return Order(key[order], (ordinary, toxic), share, high - low)
+
+
+def wanted_pairs(pairs: DataFrame, share: float) -> np.ndarray:
+    """Sorted keys of the bigrams that a class holds in more or fewer texts than chance."""
+    both = F.col("ordinary") + F.col("toxic")
+    away = F.abs(F.col("toxic") - both * share)
+    chance = F.sqrt(both * (share * (1 - share)) + 1) * CHANCE
+    least = both * (BLUR * min(share, 1 - share))
+    return np.sort(pairs.where(away > chance + least).select("pair").toArrow().column(0).to_numpy())
+
+
+def pair_order(texts: DataFrame, wanted: np.ndarray, share: float, words: Order) -> Order:
+    """Bigram order: the different contexts of each wanted bigram in each class."""
+    if not len(wanted):
+        return NO_ORDER
+    bits = 63 - len(wanted).bit_length()
+    shared = texts.sparkSession.sparkContext.broadcast(wanted)
+    found = texts.select("text", "label").mapInArrow(_contexts(shared, bits), KEYED)
+    once = found.groupBy("pair").agg(F.max("ordinary").alias("ordinary"), F.max("toxic").alias("toxic"))
+    counts = (
+        once.groupBy(F.shiftright("pair", bits).alias("place"))
+        .agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
+        .toArrow()
+    )
+    ordinary, toxic = np.zeros(len(wanted)), np.zeros(len(wanted))
+    place = counts.column("place").to_numpy()
+    ordinary[place] = counts.column("ordinary").to_numpy()
+    toxic[place] = counts.column("toxic").to_numpy()
+    at, known = places_in(words.keys, wanted >> PAIR_BITS)
+    odds = share / (1 - share) * np.exp(np.where(known, words.gain[at], 0.0))
+    lower = odds / (1 + odds)
+    low, high = class_factors(ordinary, toxic, lower)
+    return Order(wanted, (ordinary, toxic), lower, high - low)
+
+
 def train(
     docs: DataFrame, labels: DataFrame, learnable: Column | None = None, label: str = "toxic",
     calibration_rows: int = CALIBRATION_ROWS, broadcast_rows: int = BROADCAST_ROWS,
 ) -> ToxicityModel:
-    """Models of both classes from every labelled text that satisfies ``learnable``.
+    """Models of both classes from every different labelled text that satisfies ``learnable``.
 
     Counts cover all labelled texts; only the two numbers of the final curve are fitted on
     about ``calibration_rows`` of them. Up to ``broadcast_rows`` labels (12 bytes each) are
@@ -221,34 +356,28 @@ def train(
     ship_package(spark)
     known = labels_of(labels, label)
     known = known.where(learnable) if learnable is not None else known
+    known, known_path = stage(different_texts(docs, known))
     rows, share = known.agg(F.count("label"), F.avg("label")).first()
     if not rows or share in (0.0, 1.0):
+        discard(spark, known_path)
         odds = np.clip(0.5 if not rows else share, 0.01, 0.99)
-        nothing = np.zeros(0)
-        at, none = nothing.astype(np.int64), (nothing, nothing)
-        return ToxicityModel(at, nothing, none, 0.0, float(np.log(odds / (1 - odds))))
+        return ToxicityModel(bias=float(np.log(odds / (1 - odds))))
     side = F.broadcast(known) if rows <= broadcast_rows else known.hint("shuffle_hash")
     texts = docs.select("doc_id", "text").join(side, "doc_id")
-    pairs = texts.select("text", "label").mapInArrow(_pairs, "pair long, mark long")
-    distinct = pairs.groupBy("pair").agg(F.bit_or("mark").alias("mark"))
-    words = (
-        distinct.groupBy(F.shiftright("pair", PAIR_BITS).alias("cell"))
-        .agg(
-            F.sum(F.col("mark").bitwiseAND(1)).alias("ordinary"),
-            F.sum(F.shiftright("mark", 1)).alias("toxic"),
-        )
-        .where("ordinary + toxic > 1")  # one continuation says nothing about a class
-        .toArrow()
-    )
-    at = words.column("cell").to_numpy() & ((1 << CELLS) - 1)
-    order = np.argsort(at)
-    counts = tuple(words.column(c).to_numpy()[order].astype(float) for c in ("ordinary", "toxic"))
-    gain = word_gains(*counts, toxic_share(counts)).astype(np.float32)
-    model = ToxicityModel(at[order], gain, counts)
+    pairs = texts.select("text", "label").mapInArrow(_pairs, KEYED)
+    pairs = pairs.groupBy("pair").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
+    pairs, pairs_path = stage(pairs)
+    model = ToxicityModel(word_order(pairs))
+    ordinary, toxic = pairs.agg(F.sum("ordinary"), F.sum("toxic")).first()
+    if ordinary and toxic:
+        part = toxic / (ordinary + toxic)
+        model.pairs = pair_order(texts, wanted_pairs(pairs, part), part, model.words)
+    discard(spark, pairs_path)
     part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * min(1, calibration_rows / rows))
     sample = docs.select("doc_id", "text").join(F.broadcast(known.where(part)), "doc_id")
     shared = spark.sparkContext.broadcast(model)
     got = sample.select("text", "label").mapInArrow(_measured(shared), "label int, evidence double").toPandas()
+    discard(spark, known_path)
     got = got.sort_values(["label", "evidence"], kind="stable")
     if got["label"].nunique() == 2:
         model.weight, model.bias = fit_sigmoid(got["evidence"].to_numpy(), got["label"].to_numpy())
@@ -266,6 +395,7 @@ def score(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text: s
     kind = T.StructType(
         [own.schema["carried"], T.StructField("score", T.DoubleType()), T.StructField("evidence", T.DoubleType())]
     )
-    lean = replace(model, counts=(np.zeros(0), np.zeros(0)))
-    shared = docs.sparkSession.sparkContext.broadcast(lean)
+    none = (np.zeros(0), np.zeros(0))
+    lean = [replace(o, counts=none, share=0.5, gain=o.gain.astype(np.float32)) for o in (model.words, model.pairs)]
+    shared = docs.sparkSession.sparkContext.broadcast(replace(model, words=lean[0], pairs=lean[1]))
     return own.mapInArrow(_scores(shared), kind).withColumnRenamed("carried", "doc_id")

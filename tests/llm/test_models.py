@@ -126,7 +126,7 @@ def test_held_out_accuracy_and_odd_rows(spark, odd, empty, which):
     assert {r.score for r in module.score(odd, none).collect()} == {0.5}
     if which == "toxic":
         other = toxicity.train(docs, labels, ~held, broadcast_rows=0)
-        assert np.allclose(other.gain, model.gain)
+        assert np.allclose(other.words.gain, model.words.gain)
     else:
         assert quality.keep_good(odd, model, 0.0).columns == odd.columns
 
