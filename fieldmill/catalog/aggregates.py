@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import is_true, safe_log
 from ..operators import profile as P
-from ..operators.graph import degrees, graph_features, graph_sizes, node_statistics
+from ..operators.graph import degree_features, graph_sizes, node_statistics
 from ..operators.ordered import approximate_quantiles, quantiles
 from ..operators.sketch import RANK_ERROR, quantile_sketches, united_quantiles
 from ..operators.split import split_sizes
@@ -254,7 +254,7 @@ _DEGREE_NAMES = ("global_source_degrees", "global_dest_degrees", "local_source_d
     + " FROM deg GROUP BY 1) SELECT n_connections, n_unique_nodes, stats.* FROM sizes JOIN stats ON sizes._id = stats._id",
 )
 def full_graph_features(t: Tables) -> DataFrame:
-    out = graph_features(edges(t), featured=degrees(edges(t)))
+    out = degree_features(edges(t))
     floats = [f"{k}_{f}" for f in _DEGREE_NAMES for k in ("avg", "std")]
     return rounded(out, *floats)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEGREES = (
@@ -76,3 +76,50 @@ def degrees(edges: DataFrame, by: str = "_id", source: str = "from", target: str
         out = out.withColumn(f"__key{n}", F.struct(*keys))
         out = out.join(sized(keys, f"__key{n}", name), f"__key{n}").drop(f"__key{n}")
     return out
+
+
+def _weighted_statistics(value: Column, weight: Column, name: str) -> list[Column]:
+    """Mean, minimum, maximum and sample deviation of ``value``, each row counted ``weight`` times.
+
+    The deviation comes from exact decimal sums; sums beyond 38 digits are taken in floats.
+    """
+    n = F.sum(weight)
+    exact = value.cast("decimal(19,0)")
+    first, second = F.try_sum(exact * weight), F.try_sum(exact * exact * weight)
+    spread = F.try_subtract(F.try_multiply(n, second), F.try_multiply(first, first)).cast("double")
+    loose = F.sum(value.cast("double") * value * weight) - F.pow(F.sum(value.cast("double") * weight), 2) / n
+    variance = F.coalesce(spread / n, F.greatest(loose, F.lit(0.0))) / (n - 1)
+    return [
+        (F.sum(value.cast("double") * weight) / n).alias(f"avg_{name}"),
+        F.min(F.when(weight > 0, value)).alias(f"min_{name}"),
+        F.max(F.when(weight > 0, value)).alias(f"max_{name}"),
+        F.when(n > 1, F.sqrt(variance)).alias(f"std_{name}"),
+    ]
+
+
+def degree_features(edges: DataFrame, by: str = "_id", source: str = "from", target: str = "to") -> DataFrame:
+    """What ``graph_features`` gives for the four degrees, from one count per (graph, node).
+
+    Edges are shuffled once, already added up per (graph, node) in each task. Degrees over
+    all graphs are rolled up from these counts and joined to them; an edge's degrees are
+    those of its ends, so its statistics are statistics of the ends, weighted by their edges.
+    A null end is a node of its own; edges without a graph count for the degrees over all
+    graphs but give no row.
+    """
+    end = F.explode(
+        F.array(
+            F.struct(F.struct(F.col(source).alias("id")).alias("node"), F.lit(1).alias("outs"), F.lit(0).alias("ins")),
+            F.struct(F.struct(F.col(target).alias("id")).alias("node"), F.lit(0).alias("outs"), F.lit(1).alias("ins")),
+        )
+    )
+    ends = edges.select(F.col(by).alias("__graph"), end.alias("end")).select("__graph", "end.*")
+    local = ends.groupBy("__graph", "node").agg(F.sum("outs").alias("outs"), F.sum("ins").alias("ins"))
+    overall = local.groupBy("node").agg(F.sum("outs").alias("all_outs"), F.sum("ins").alias("all_ins"))
+    own = local.where("__graph is not null").join(overall, "node")
+    outs, ins = F.col("outs"), F.col("ins")
+    parts = ((F.col("all_outs"), outs), (F.col("all_ins"), ins), (outs, outs), (ins, ins))
+    return own.groupBy(F.col("__graph").alias(by)).agg(
+        F.sum("outs").alias("n_connections"),
+        F.count("*").alias("n_unique_nodes"),
+        *(c for (value, weight), name in zip(parts, DEGREES) for c in _weighted_statistics(value, weight, name)),
+    )

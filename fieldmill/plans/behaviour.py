@@ -18,7 +18,7 @@ from ..learn.evaluate import (
     threshold_table,
 )
 from ..learn.model import boosted_classifier, fit_pipeline, scored
-from ..operators.graph import DEGREES, degrees, graph_features
+from ..operators.graph import DEGREES, degree_features, degrees, graph_features
 from ..operators.split import hash_split, parts
 from ..session import scratch_path
 from ..sources.writers import write_columnar
@@ -43,9 +43,11 @@ def cleaned_calls(calls: DataFrame, required: str, label: str = "classification"
 
 def feature_table(calls: DataFrame, edges: DataFrame, features: Sequence[str] = DEGREES) -> DataFrame:
     """Behaviour rows joined with the features of their call graph."""
-    known = set(features) <= set(edges.columns)
-    featured = edges if known else degrees(edges)
-    return calls.join(graph_features(edges, features, featured=featured), "_id")
+    if set(features) <= set(edges.columns):
+        return calls.join(graph_features(edges, features), "_id")
+    if tuple(features) == DEGREES:
+        return calls.join(degree_features(edges), "_id")
+    return calls.join(graph_features(edges, features, featured=degrees(edges)), "_id")
 
 
 def run(

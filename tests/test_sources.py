@@ -1,10 +1,18 @@
 import json
+import random
 from dataclasses import dataclass
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldmill.operators.graph import degrees, graph_features, graph_sizes
+from fieldmill.operators.graph import (
+    _weighted_statistics,
+    degree_features,
+    degrees,
+    graph_features,
+    graph_sizes,
+)
 from fieldmill.operators.joins import (
     coordinates,
     join_original_features,
@@ -153,3 +161,25 @@ def test_degrees_keep_edges_without_an_end(spark):
     assert got["g", "a", None]["global_source_degrees"] == 2
     assert got["g", "a", "b"]["global_dest_degrees"] == 2
     assert got["g", "a", "b"]["local_dest_degrees"] == 1
+
+
+def test_degree_features_equal_those_of_every_edge(spark):
+    """Hot nodes, loops, repeated edges, missing ends and graphs."""
+    draw = random.Random(4)
+    rows = [(f"g{draw.randrange(12)}", draw.choice([0, 0, 0, *range(20)]), draw.choice([0, *range(30)])) for _ in range(600)]
+    rows += [("one", 1, 2), ("loop", 3, 3), ("half", 1, None), ("half", None, None), (None, 0, 1), (None, None, 2)]
+    edges = spark.createDataFrame(rows, "_id string, `from` int, `to` int").repartition(3)
+    want = {r["_id"]: r for r in graph_features(edges, featured=degrees(edges)).collect()}
+    got = {r["_id"]: r for r in degree_features(edges).collect()}
+    assert set(got) == set(want) and None not in got
+    for key, row in want.items():
+        assert got[key].asDict() == pytest.approx(row.asDict())
+    plan = degree_features(edges)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1
+    assert degree_features(edges.limit(0)).count() == 0
+
+
+def test_deviation_of_large_degrees(spark):
+    sized = spark.createDataFrame([("g", 10**12, 3), ("g", 10**12 + 1, 1)], "_id string, d long, n long")
+    got = sized.groupBy("_id").agg(*_weighted_statistics(F.col("d"), F.col("n"), "d")).first()
+    assert got["std_d"] == pytest.approx(0.5) and got["min_d"] == 10**12
