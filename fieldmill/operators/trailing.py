@@ -1,17 +1,18 @@
 """Trailing-day features: distinct count, maximum and mean over [day - N, day).
 
-Distinct counts use no set per window. An id seen on ``day`` is present in the
-windows of the following N days, or until its next sighting takes over; that is
-one ``+1`` where the presence starts and one ``-1`` where it ends. Adding these
-up by day and running the sum along the calendar gives the number of ids in
-every window, for all N at once, with two small rows per sighting.
+Distinct counts use no set per window. Sightings of an id that lie less than N days
+apart are one presence: it starts at a sighting without another in the N - 1 days before
+and ends at one without another in the N - 1 days after. A window holds the ids whose
+presence started before its end and had its last sighting not before its start. So each
+sighting says, for every N, whether it starts and whether it ends a presence; these are
+added up by day, and running sums give every window from one narrow row per active day.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _DAY = "__day"
@@ -40,47 +41,28 @@ def trailing_table(
         F.sum(metric).alias("__sum"),
         F.max(metric).alias("__max"),
     )
-    following = F.lead(_DAY).over(Window.partitionBy(*keys, id_col).orderBy(_DAY))
-    spans = sightings.withColumn("__next", following)
-    # One sighting becomes its own activity, one start, and one end per period.
-    blank = {
-        "__n": F.lit(None).cast("bigint"),
-        "__sum": F.lit(None).cast(spans.schema["__sum"].dataType),
-        "__max": F.lit(None).cast(spans.schema["__max"].dataType),
-        "__active": F.lit(None).cast("int"),
-    }
-
-    def entry(at: Column, changes: dict, **activity) -> Column:
-        values = {**blank, **{f"__d{p}": F.lit(changes.get(p, 0)) for p in periods}, **activity}
-        return F.struct(at.alias(_DAY), *(v.alias(k) for k, v in values.items()))
-
-    here, coming = F.col(_DAY), F.col("__next")
-    entries = [
-        entry(here, {}, __n=F.col("__n"), __sum=F.col("__sum"), __max=F.col("__max"),
-              __active=F.lit(1)),
-        entry(here + 1, {p: 1 for p in periods}),
-    ]
-    for p in periods:
-        last = F.least(here + p, F.coalesce(coming, here + p))
-        entries.append(entry(last + 1, {p: -1}))
-    calendar = (
-        spans.select(*keys, F.explode(F.array(*entries)).alias("__e"))
-        .select(*keys, "__e.*")
-        .groupBy(*keys, _DAY)
-        .agg(
-            F.sum("__n").alias("__n"),
-            F.sum("__sum").alias("__sum"),
-            F.max("__max").alias("__max"),
-            F.max("__active").alias("__active"),
-            *(F.sum(f"__d{p}").alias(f"__d{p}") for p in periods),
-        )
+    own = Window.partitionBy(*keys, id_col).orderBy(_DAY)
+    since, until = F.col(_DAY) - F.lag(_DAY).over(own), F.lead(_DAY).over(own) - F.col(_DAY)
+    gaps = sightings.withColumns({"__since": since, "__until": until})
+    days = gaps.groupBy(*keys, _DAY).agg(
+        F.sum("__n").alias("__n"),
+        F.sum("__sum").alias("__sum"),
+        F.max("__max").alias("__max"),
+        *(
+            F.count(F.when(F.col(gap).isNull() | (F.col(gap) >= p), 1)).alias(f"{gap}{p}")
+            for p in periods
+            for gap in ("__since", "__until")
+        ),
     )
-    # At most one row per calendar day and key: the windows stay small. Both use
-    # the same partitions and order, so the second needs no shuffle and no sort;
-    # its moving frames see active days only.
+    # One row per active day and key: the windows stay small. All share partitions
+    # and order, so there is one shuffle and one sort.
     ordered = Window.partitionBy(*keys).orderBy(_DAY)
-    upto = ordered.rowsBetween(Window.unboundedPreceding, 0)
-    present = {names["distinct"].format(n=p): F.sum(f"__d{p}").over(upto) for p in periods}
+    earliest = Window.unboundedPreceding
+    present = {}
+    for p in periods:
+        started = F.coalesce(F.sum(f"__since{p}").over(ordered.rangeBetween(earliest, -1)), F.lit(0))
+        ended = F.coalesce(F.sum(f"__until{p}").over(ordered.rangeBetween(earliest, -p - 1)), F.lit(0))
+        present[names["distinct"].format(n=p)] = started - ended
     moving = {}
     for p in periods:
         frame = ordered.rangeBetween(-p, -1)
@@ -90,11 +72,8 @@ def trailing_table(
             F.lit(0.0),
         )
     features = [names[k].format(n=p) for p in periods for k in ("distinct", "max", "mean")]
-    return (
-        calendar.withColumns(present)
-        .where("__active = 1")
-        .withColumns(moving)
-        .select(*keys, F.date_from_unix_date(_DAY).alias(day), *features)
+    return days.withColumns({**present, **moving}).select(
+        *keys, F.date_from_unix_date(_DAY).alias(day), *features
     )
 
 

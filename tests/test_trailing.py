@@ -93,3 +93,42 @@ def test_null_channel(spark):
     got = {r["video_id"]: r[CHANNEL_NAMES["distinct"].format(n=7)] for r in out.collect()}
     assert got == {1: 0, 2: 1}
     assert out.where(F.col("channel").isNotNull()).count() == 0
+
+
+def test_gaps_as_long_as_a_period(spark):
+    days = [0, 6, 13, 21, 28]  # gaps of 6, 7, 8 and 7 days
+    rows = [("v", "c", day(n), n) for n in days] + [("w", "c", day(n), n) for n in (20, 27, 28, 29)]
+    df = spark.createDataFrame(rows, "video_id string, channel string, d date, m int")
+    out = {r["d"]: r for r in trailing_table(df, "d", [7, 30], "video_id", "m", GENERAL_NAMES).collect()}
+    assert set(out) == {r[2] for r in rows}
+    for at, row in out.items():
+        for n in (7, 30):
+            want = brute(rows, None, at, n)
+            assert row[GENERAL_NAMES["distinct"].format(n=n)] == want[0]
+            assert row[GENERAL_NAMES["max"].format(n=n)] == want[1]
+
+
+def test_sightings_are_not_multiplied(spark):
+    df = spark.createDataFrame([(1, "c", day(0), 1)], SCHEMA)
+    out = trailing_table(df, "d", [7, 30, 180], "video_id", "m", CHANNEL_NAMES, "channel")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Expand" not in plan
+
+
+def test_added_features_read_the_tables_once(spark, tmp_path):
+    from fieldmill.catalog.base import Tables
+    from fieldmill.catalog.windows import add_period_features, add_rolling_features
+
+    lines = [(1, 7, 3, day(0), 10.0, 5.0, 0.1, 1), (2, 7, 3, day(4), 20.0, 6.0, 0.2, 1)]
+    spark.createDataFrame(
+        lines,
+        "l_orderkey long, l_partkey long, l_suppkey long, l_shipdate date, l_extendedprice double, "
+        "l_quantity double, l_discount double, l_linenumber int",
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame(
+        [(1, day(-2)), (2, day(-1))], "o_orderkey long, o_orderdate date"
+    ).write.parquet(str(tmp_path / "orders.parquet"))
+    for build in (add_rolling_features, add_period_features):
+        out = build(Tables(spark, str(tmp_path)))
+        assert [r["video_id"] for r in out.collect()] == [7]
+        assert not any("lineitem" in f for f in out.inputFiles())
