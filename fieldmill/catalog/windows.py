@@ -15,6 +15,7 @@ from ..operators.trailing import (
     trailing_mean_inclusive,
     trailing_table,
 )
+from ..session import staged
 from .base import Tables, day, register, rounded
 from .standins import LIFE_SQL, LOG_SQL, TREND_SQL, life, log, trend
 
@@ -186,6 +187,11 @@ def trailing_by_channel(t: Tables) -> DataFrame:
     return _rounded_means(out, CHANNEL_NAMES).withColumn("d", day("d"))
 
 
+def _stored_life(t: Tables) -> DataFrame:
+    """What the trailing features need of the videos, read twice and so written once."""
+    return staged(life(t).select("video_id", "channel_title", "first_day_in_trending", "days_in_trending"))
+
+
 _ADDED_SQL = f"WITH {LIFE_SQL}, "
 
 
@@ -205,7 +211,7 @@ def _attached_sql(key: str | None, names: dict) -> str:
 @register("e9_add_rolling_features", _attached_sql("channel_title", CHANNEL_NAMES))
 def add_rolling_features(t: Tables) -> DataFrame:
     out = add_trailing(
-        life(t), "first_day_in_trending", PERIODS, "video_id", "days_in_trending",
+        _stored_life(t), "first_day_in_trending", PERIODS, "video_id", "days_in_trending",
         CHANNEL_NAMES, "channel_title",
     )
     names = [CHANNEL_NAMES[k].format(n=p) for p in PERIODS for k in ("distinct", "max", "mean")]
@@ -240,7 +246,7 @@ def sliding_periods(t: Tables) -> DataFrame:
 @register("e12_add_period_features", _attached_sql(None, GENERAL_NAMES))
 def add_period_features(t: Tables) -> DataFrame:
     out = add_trailing(
-        life(t), "first_day_in_trending", PERIODS, "video_id", "days_in_trending", GENERAL_NAMES
+        _stored_life(t), "first_day_in_trending", PERIODS, "video_id", "days_in_trending", GENERAL_NAMES
     )
     names = [GENERAL_NAMES[k].format(n=p) for p in PERIODS for k in ("distinct", "max", "mean")]
     return _rounded_means(out.select("video_id", *names), GENERAL_NAMES)
