@@ -184,9 +184,11 @@ def lifecycle(
     ]
     if features:
         order = F.when(
-            date.isNotNull(), F.struct(date.alias("d"), *(prefer or features))
+            date.isNotNull(), F.struct(date.alias("__day"), *(prefer or features))
         )
-        aggregates.append(F.min_by(F.struct(*features), order).alias("__first"))
+        # without preferences the smallest order holds the features already
+        first = F.min_by(F.struct(*features), order) if prefer else F.min(order)
+        aggregates.append(first.alias("__first"))
     out = df.groupBy(id_col).agg(*aggregates).where(F.col(lag) <= max_lag)
     if not features:
         return out

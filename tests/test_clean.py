@@ -123,3 +123,13 @@ def test_lifecycle_ties_and_threshold(spark):
         "a", 7, "2020-01-02",
     )
     assert (out[3]["f"], out[3]["days_in_trending"]) == (None, None)
+
+
+def test_lifecycle_carries_its_features_once(spark):
+    rows = [(1, "2020-01-02", 3, "b", 5), (1, "2020-01-02", 4, "a", 9), (1, "2020-01-09", 1, "a", 1), (2, None, 1, "z", 1)]
+    df = spark.createDataFrame(rows, "id int, at string, lag int, d string, f int").withColumn("at", F.to_date("at"))
+    made = lifecycle(df, "id", "at", "lag", 60, ["d", "f"])
+    out = {r["id"]: r for r in made.collect()}
+    assert (out[1]["d"], out[1]["f"], out[1]["lag"], out[1]["days_in_trending"]) == ("a", 9, 1, 7)
+    assert (out[2]["d"], out[2]["f"]) == (None, None)
+    assert "min_by" not in made._jdf.queryExecution().optimizedPlan().toString()
