@@ -20,12 +20,15 @@ from pyspark.sql import types as T
 
 from . import arrays as A
 from .common import ship_package
+from ..operators.ordered import quantiles, scalar_quantile
+from ..session import staged
 
 BITS = 6
 CLASSES = 1 << BITS
 CONTEXTS = CLASSES**3
 UNDETERMINED = "und"
-CALIBRATION_ROWS = 8_000
+CALIBRATION = ["lang", "loss", "sizes", "costs"]
+HEATS = np.geomspace(0.5, 500, 60)
 FLUSH_KEYS = 1 << 21
 _TABLE: list[np.ndarray] = []
 
@@ -210,14 +213,16 @@ def build_models(langs: list[str], keys: list[np.ndarray], counts: list[np.ndarr
 def _scored(shared, calibrating: bool, place: int | None = None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models: Models = shared.value
+        costs = np.zeros(len(HEATS))
         for batch in _text_blocks(A.with_text(batches, place)):
             keys, first, letters = char_keys(_texts(batch))
             loss, sizes = models.losses(keys, first)
             if calibrating:
-                flat = pa.array(loss.ravel())
-                ends = pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * len(models.langs))
-                columns = [batch.column("lang"), pa.ListArray.from_arrays(ends, flat), pa.array(sizes)]
-                yield pa.RecordBatch.from_arrays(columns, ["lang", "loss", "sizes"])
+                own = np.array([models.langs.index(x) for x in batch.column("lang").to_pylist()], np.int64)
+                nothing = pa.nulls(len(own), pa.list_(pa.float64()))
+                columns = [batch.column("lang"), pa.array(loss[np.arange(len(own)), own]), pa.array(sizes), nothing]
+                yield pa.RecordBatch.from_arrays(columns, CALIBRATION)
+                costs += _heat_costs(loss, sizes, own)
                 continue
             best, share, far = models.judged(loss, sizes)
             told = letters > 0
@@ -232,46 +237,67 @@ def _scored(shared, calibrating: bool, place: int | None = None):
             yield pa.RecordBatch.from_arrays(
                 columns, ["carried", "lang_pred", "score", "loss", "rejected"]
             )
+        if calibrating:
+            last = [None], [None], [None], [costs.tolist()]
+            kinds = pa.string(), pa.float64(), pa.int64(), pa.list_(pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(last, kinds)], CALIBRATION)
 
     return run
 
 
-def calibrate(models: Models, lang: np.ndarray, loss: np.ndarray, sizes: np.ndarray, slack: float) -> None:
-    """Temperature of the probabilities, and the range of a language's own loss."""
-    own = np.array([models.langs.index(x) for x in lang])
-    rows = np.arange(len(own))
+def _heat_costs(loss: np.ndarray, sizes: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Sum over the rows of the log loss at each temperature."""
     gap = -(loss - loss.min(axis=1, keepdims=True)) * sizes[:, None]
-    heats = np.geomspace(0.5, 500, 60)
-    costs = [
-        (np.log(np.exp(gap / h).sum(axis=1)) - gap[rows, own] / h).mean() for h in heats
-    ]
-    models.heat = float(heats[int(np.argmin(costs))])
+    mine = gap[np.arange(len(own)), own]
+    return np.array([(np.log(np.exp(gap / h).sum(axis=1)) - mine / h).sum() for h in HEATS])
+
+
+def calibrate(models: Models, own: DataFrame, slack: float) -> None:
+    """Temperature of the probabilities, and the range of a language's own loss.
+
+    All rows of ``own`` (lang, text) count. Their texts are scored once, with the costs of
+    all temperatures added up in each task; what is written is a language and two numbers
+    a row. Medians and the last quantile are exact and come from slices of the sort order.
+    """
+    shared = own.sparkSession.sparkContext.broadcast(models)
+    kinds = "lang string, loss double, sizes long, costs array<double>"
+    told = staged(own.mapInArrow(_scored(shared, True), kinds))
+    costs = told.select(F.posexplode("costs").alias("at", "cost")).groupBy("at").agg(F.sum("cost").alias("cost"))
+    models.heat = float(HEATS[min((r["cost"], r["at"]) for r in costs.collect())[1]])
     count = len(models.langs)
     models.centre, models.inner, models.outer = np.zeros(count), np.ones(count), np.zeros(count)
-    far = np.zeros(len(own))
-    for n in range(count):
-        mine = own == n
-        values = loss[mine, n] if mine.any() else loss[rows, own]
-        length = sizes[mine] if mine.any() else sizes
-        models.centre[n] = np.median(values)
-        gap2 = (values - models.centre[n]) ** 2
-        # a short text varies with its length, a long one with its topic
-        models.inner[n] = np.median(gap2 * length) / 0.455 + 1e-6
-        models.outer[n] = np.median(gap2) / 0.455 + 1e-9
-        if mine.any():
-            spread = np.sqrt(models.inner[n] / length + models.outer[n])
-            far[mine] = (values - models.centre[n]) / spread
-    models.limit = float(np.quantile(far, 0.999) * slack)
+
+    def medians(rows: DataFrame, column: str) -> np.ndarray:
+        found = {r["lang"]: r["q"] for r in quantiles(rows, column, {"q": 0.5}, ["lang"]).collect()}
+        return np.array([found[x] for x in models.langs])
+
+    def with_number(rows: DataFrame, **numbers: np.ndarray) -> DataFrame:
+        values = [(x, *(float(v[n]) for v in numbers.values())) for n, x in enumerate(models.langs)]
+        kinds = ", ".join(["lang string", *(f"{name} double" for name in numbers)])
+        return rows.join(own.sparkSession.createDataFrame(values, kinds), "lang")
+
+    rows = told.where("lang is not null").select("lang", "loss", "sizes")
+    models.centre = medians(rows, "loss")
+    square = F.pow(F.col("loss") - F.col("centre"), 2)
+    rows = with_number(rows, centre=models.centre).withColumns(
+        {"square": square, "scaled": square * F.col("sizes")}
+    )
+    # a short text varies with its length, a long one with its topic
+    models.inner = medians(rows, "scaled") / 0.455 + 1e-6
+    models.outer = medians(rows, "square") / 0.455 + 1e-9
+    spread = F.sqrt(F.col("inner") / F.col("sizes") + F.col("outer"))
+    far = with_number(rows, inner=models.inner, outer=models.outer).select(
+        ((F.col("loss") - F.col("centre")) / spread).alias("far")
+    )
+    models.limit = float(scalar_quantile(far, "far", 0.999, "linear") * slack)
 
 
 def train(
     docs: DataFrame, lang: str = "lang", text: str = "text", slack: float = 2.0,
-    calibration_rows: int = CALIBRATION_ROWS,
 ) -> Models:
     """Models of all languages from every row with text and language.
 
-    Counts cover all rows. Temperature and rejection range are fitted on about
-    ``calibration_rows`` of them, drawn by a hash of the text; a text is rejected when its
+    Counts, temperature and rejection range cover all rows; a text is rejected when its
     standardised loss exceeds ``slack`` times the 99.9 % point of theirs.
     """
     spark = docs.sparkSession
@@ -286,15 +312,8 @@ def train(
     names, keys, n = names[order], keys[order], n[order]
     langs = sorted(set(names.tolist()))
     models = build_models(langs, [keys[names == x] for x in langs], [n[names == x] for x in langs])
-    if not langs:
-        return models
-    rows = own.count()
-    part = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int((1 << 20) * calibration_rows / rows) + 1
-    shared = spark.sparkContext.broadcast(models)
-    sample = own.where(part).mapInArrow(_scored(shared, True), "lang string, loss array<double>, sizes long")
-    got = sample.toPandas().sort_values(["lang", "sizes"], kind="stable")
-    if len(got):
-        calibrate(models, got["lang"].to_numpy(), np.array(got["loss"].tolist()), got["sizes"].to_numpy(), slack)
+    if langs:
+        calibrate(models, own, slack)
     return models
 
 

@@ -199,3 +199,31 @@ def test_classes_decide_inside_articles(spark):
     assert webpages.valid_tokens(bare) == []
     tag = webpages._key("/body/article")
     assert "Teaser 3" in webpages.main_text(rows[3][2], whole - {tag})
+
+
+def test_language_range_comes_from_all_rows(spark):
+    from fieldmill.llm import langid
+
+    draw = np.random.default_rng(8)
+    words = {"xx": ["alba", "berto", "calma", "dorma"], "yy": ["krumt", "stelz", "wirft", "zwolk"]}
+    rows = [
+        (lang, " ".join(draw.choice(words[lang] + ["q" * int(draw.integers(1, 9))], int(draw.integers(1, 12)))))
+        for lang in words
+        for _ in range(9000)
+    ]
+    models = langid.train(spark.createDataFrame(rows, "lang string, text string"))
+    keys, first, _ = langid.char_keys([t for _, t in rows])
+    loss, sizes = models.losses(keys, first)
+    own = np.array([models.langs.index(x) for x, _ in rows])
+    far = np.zeros(len(rows))
+    for n in range(2):
+        values, length = loss[own == n, n], sizes[own == n]
+        gap = (values - np.median(values)) ** 2
+        assert models.centre[n] == pytest.approx(np.median(values), rel=1e-12)
+        assert models.inner[n] == pytest.approx(np.median(gap * length) / 0.455 + 1e-6, rel=1e-9)
+        assert models.outer[n] == pytest.approx(np.median(gap) / 0.455 + 1e-9, rel=1e-9)
+        far[own == n] = (values - models.centre[n]) / np.sqrt(models.inner[n] / length + models.outer[n])
+    assert models.limit == pytest.approx(2 * np.quantile(far, 0.999), rel=1e-9)
+    gaps = -(loss - loss.min(axis=1, keepdims=True)) * sizes[:, None]
+    costs = [np.log(np.exp(gaps / h).sum(axis=1)).mean() - (gaps[np.arange(len(own)), own] / h).mean() for h in langid.HEATS]
+    assert models.heat == langid.HEATS[int(np.argmin(costs))]
