@@ -100,26 +100,43 @@ def _weighted_statistics(value: Column, weight: Column, name: str) -> list[Colum
 def degree_features(edges: DataFrame, by: str = "_id", source: str = "from", target: str = "to") -> DataFrame:
     """What ``graph_features`` gives for the four degrees, from one count per (graph, node).
 
-    Edges are shuffled once, already added up per (graph, node) in each task. Degrees over
-    all graphs are rolled up from these counts and joined to them; an edge's degrees are
-    those of its ends, so its statistics are statistics of the ends, weighted by their edges.
+    Edges are dealt to as many tasks as the session shuffles into, by graph and the part of
+    the table they come from, and added up there per (graph, node); the counts are dealt
+    again by (graph, node). So the cells that a task holds become fewer with more tasks,
+    and neither a huge graph nor an edge that repeats is gathered. Degrees over all graphs
+    are rolled up from these counts and joined to them; an edge's degrees are those of its
+    ends, so its statistics are statistics of the ends, weighted by their edges. These move
+    once more, as narrow rows, so that wide sums are only shuffled once a graph and slice.
     A null end is a node of its own; edges without a graph count for the degrees over all
     graphs but give no row.
     """
+    tasks = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = edges.select(
+        F.col(by).alias("__graph"), F.col(source).alias("__from"), F.col(target).alias("__to"),
+        F.spark_partition_id().alias("__part"),
+    ).repartition(tasks, "__graph", "__part")
     end = F.explode(
         F.array(
-            F.struct(F.struct(F.col(source).alias("id")).alias("node"), F.lit(1).alias("outs"), F.lit(0).alias("ins")),
-            F.struct(F.struct(F.col(target).alias("id")).alias("node"), F.lit(0).alias("outs"), F.lit(1).alias("ins")),
+            F.struct(F.struct(F.col("__from").alias("id")).alias("node"), F.lit(1).alias("outs"), F.lit(0).alias("ins")),
+            F.struct(F.struct(F.col("__to").alias("id")).alias("node"), F.lit(0).alias("outs"), F.lit(1).alias("ins")),
         )
     )
-    ends = edges.select(F.col(by).alias("__graph"), end.alias("end")).select("__graph", "end.*")
-    local = ends.groupBy("__graph", "node").agg(F.sum("outs").alias("outs"), F.sum("ins").alias("ins"))
+    counts = (F.sum("outs").alias("outs"), F.sum("ins").alias("ins"))
+    ends = dealt.select("__graph", "__part", end.alias("end")).select("__graph", "__part", "end.*")
+    partly = ends.groupBy("__graph", "__part", "node").agg(*counts)
+    local = partly.repartition(tasks, "__graph", "node").groupBy("__graph", "node").agg(*counts)
     overall = local.groupBy("node").agg(F.sum("outs").alias("all_outs"), F.sum("ins").alias("all_ins"))
-    own = local.where("__graph is not null").join(overall, "node")
+    own = (
+        local.join(overall, "node")
+        .select(F.struct("__graph").alias("__slot"), "outs", "ins", "all_outs", "all_ins")
+        .hint("rebalance", "__slot")
+    )
     outs, ins = F.col("outs"), F.col("ins")
     parts = ((F.col("all_outs"), outs), (F.col("all_ins"), ins), (outs, outs), (ins, ins))
-    return own.groupBy(F.col("__graph").alias(by)).agg(
+    return own.groupBy(F.col("__slot")["__graph"].alias(by)).agg(
         F.sum("outs").alias("n_connections"),
         F.count("*").alias("n_unique_nodes"),
         *(c for (value, weight), name in zip(parts, DEGREES) for c in _weighted_statistics(value, weight, name)),
-    )
+        # an aggregate, as a condition on the key would go into one use of the counts alone
+        F.max(F.col("__slot")["__graph"].isNotNull()).alias("__known"),
+    ).where("__known").drop("__known")

@@ -183,3 +183,12 @@ def test_deviation_of_large_degrees(spark):
     sized = spark.createDataFrame([("g", 10**12, 3), ("g", 10**12 + 1, 1)], "_id string, d long, n long")
     got = sized.groupBy("_id").agg(*_weighted_statistics(F.col("d"), F.col("n"), "d")).first()
     assert got["std_d"] == pytest.approx(0.5) and got["min_d"] == 10**12
+
+
+def test_degree_features_shuffle_narrow_rows_and_share_the_counts(spark):
+    """Wide sums only move once added up per graph; the counts are the same in both uses."""
+    edges = spark.createDataFrame([("g", 1, 2), (None, 1, 3)], "_id string, `from` int, `to` int").repartition(2)
+    plan = degree_features(edges)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" in plan
+    assert plan.count("Repartition") >= 4 and "isnotnull(_id" not in plan
+    assert [r["_id"] for r in degree_features(edges).collect()] == ["g"]
