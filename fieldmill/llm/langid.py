@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -271,24 +271,21 @@ def calibrate(models: Models, own: DataFrame, slack: float) -> None:
         found = {r["lang"]: r["q"] for r in quantiles(rows, column, {"q": 0.5}, ["lang"]).collect()}
         return np.array([found[x] for x in models.langs])
 
-    def with_number(rows: DataFrame, **numbers: np.ndarray) -> DataFrame:
-        values = [(x, *(float(v[n]) for v in numbers.values())) for n, x in enumerate(models.langs)]
-        kinds = ", ".join(["lang string", *(f"{name} double" for name in numbers)])
-        return rows.join(own.sparkSession.createDataFrame(values, kinds), "lang")
+    def by_lang(values: np.ndarray) -> Column:
+        # no join, which would deal the rows by language
+        pairs = [F.lit(v) for n, x in enumerate(models.langs) for v in (x, float(values[n]))]
+        return F.create_map(*pairs)[F.col("lang")]
 
     rows = told.where("lang is not null").select("lang", "loss", "sizes")
     models.centre = medians(rows, "loss")
-    square = F.pow(F.col("loss") - F.col("centre"), 2)
-    rows = with_number(rows, centre=models.centre).withColumns(
-        {"square": square, "scaled": square * F.col("sizes")}
-    )
+    away = F.col("loss") - by_lang(models.centre)
+    square = F.pow(away, 2)
+    rows = rows.withColumns({"square": square, "scaled": square * F.col("sizes")})
     # a short text varies with its length, a long one with its topic
     models.inner = medians(rows, "scaled") / 0.455 + 1e-6
     models.outer = medians(rows, "square") / 0.455 + 1e-9
-    spread = F.sqrt(F.col("inner") / F.col("sizes") + F.col("outer"))
-    far = with_number(rows, inner=models.inner, outer=models.outer).select(
-        ((F.col("loss") - F.col("centre")) / spread).alias("far")
-    )
+    spread = F.sqrt(by_lang(models.inner) / F.col("sizes") + by_lang(models.outer))
+    far = rows.select((away / spread).alias("far"))
     models.limit = float(scalar_quantile(far, "far", 0.999, "linear") * slack)
 
 
