@@ -161,10 +161,12 @@ def sweep_rounds(
     metric: str = "average_precision",
     invalid: str = "skip",
     fixed: Mapping | None = None,
+    parallelism: int = 3,
 ) -> tuple[DataFrame, DataFrame]:
     """Best iteration of a booster for each value of one parameter, such as ``stepSize``.
 
-    One fit of all rounds for each value; the losses of its prefixes on ``val`` come from
+    One fit of all rounds for each value, ``parallelism`` of them at a time, as the many
+    small jobs of a booster leave most cores idle; the losses of its prefixes on ``val`` come from
     one pass. Returns (param, value, best_iter, stopped_at, loss, score, seconds), the score
     being that of the model cut to its best iteration, and the written curves
     (value, round, n, loss).
@@ -173,13 +175,19 @@ def sweep_rounds(
     encoder = Pipeline(stages=feature_stages(numeric, categorical, invalid)).fit(train)
     fit_rows = kept(encoder.transform(train).select("features", label))
     val_rows = kept(encoder.transform(val).select("features", label))
-    fits, curves = [], None
+    curves = None
+
+    def fit(value):
+        started = time.perf_counter()
+        estimator = learner(label, **{**(fixed or {}), parameter: value, "maxIter": rounds})
+        model = estimator.fit(fit_rows, {estimator.maxBins: bins_for(encoder, estimator)})
+        return model, time.perf_counter() - started
+
     try:
-        for value in values:
-            started = time.perf_counter()
-            estimator = learner(label, **{**(fixed or {}), parameter: value, "maxIter": rounds})
-            model = estimator.fit(fit_rows, {estimator.maxBins: bins_for(encoder, estimator)})
-            fits.append((model, time.perf_counter() - started))
+        fit_rows.count()  # held before several fits read them at once
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            fits = list(pool.map(fit, values))
+        for value, (model, _) in zip(values, fits):
             curve = prefix_curve(model, val_rows, label).withColumn("value", F.lit(float(value)))
             curves = curve if curves is None else curves.unionByName(curve)
         curves = staged(curves)

@@ -186,3 +186,20 @@ def test_search_sweep_and_validation(spark, learning):
     assert 0.3 < power["power"] <= 1
     with pytest.raises(ValueError):
         N.draw({"a": ("odd", 1)}, random.Random(1))
+
+
+def test_rates_are_fitted_at_the_same_time(spark):
+    import threading
+
+    from fieldmill.learn.model import boosted_classifier
+    from fieldmill.learn.tune import sweep_rounds
+
+    met = threading.Barrier(2, timeout=60)
+
+    def learner(label, **params):
+        met.wait()  # passed only if another fit begins before this one has ended
+        return boosted_classifier(label, **params)
+
+    df = spark.createDataFrame([(float(n % 7), float(n % 2)) for n in range(40)], "x double, label double")
+    out, _ = sweep_rounds(df, df, ["x"], [], "label", "stepSize", [0.1, 0.3], 2, learner=learner)
+    assert sorted(r["value"] for r in out.collect()) == [0.1, 0.3]
