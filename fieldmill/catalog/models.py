@@ -167,7 +167,7 @@ def _words(t: Tables) -> DataFrame:
 
 @register("m5_text_clusters")
 def text_clusters(t: Tables) -> DataFrame:
-    grouped = M.clustered_texts(_words(t), "w", k=4)
+    grouped = M.clustered_texts(_words(t).select("w"), "w", k=4)
     return M.top_terms(grouped, "w", "cluster", 100)
 
 

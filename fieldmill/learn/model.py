@@ -19,7 +19,7 @@ from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import kept
+from ..session import kept, staged
 
 INDEX_SUFFIX = "_ind"
 FEATURES = "features"
@@ -151,17 +151,23 @@ def clustered_texts(
     max_iter: int = 10,
     seed: int = 7,
 ) -> DataFrame:
-    """Add ``cluster`` by k-means on term weights of an array column."""
-    model = Pipeline(
-        stages=[
-            HashingTF(inputCol=tokens, outputCol="__tf", numFeatures=hash_features),
-            IDF(inputCol="__tf", outputCol="__weights"),
-            KMeans(
-                featuresCol="__weights", predictionCol="cluster", k=k, maxIter=max_iter, seed=seed
-            ),
-        ]
-    ).fit(df)
-    return model.transform(df).drop("__tf", "__weights")
+    """Add ``cluster`` by k-means on term weights of an array column.
+
+    Weights, k-means and whoever reads the result each pass over the rows, so these are
+    written once with their hashed counts; ``df`` should hold only columns that are wanted.
+    K-means draws by partition and place, so it gets the counts as ``df`` dealt them.
+    """
+    hashing = HashingTF(inputCol=tokens, outputCol="__tf", numFeatures=hash_features)
+    place = {"__part": F.spark_partition_id(), "__place": F.monotonically_increasing_id()}
+    hashed = staged(hashing.transform(df).withColumns(place))
+    parts = (hashed.agg(F.max("__part")).first()[0] or 0) + 1
+    dealt = hashed.select("__tf", "__part", "__place").repartitionById(parts, F.col("__part"))
+    # document frequencies are whole numbers, the same in any order
+    weights = IDF(inputCol="__tf", outputCol="__weights").fit(hashed)
+    means = KMeans(
+        featuresCol="__weights", predictionCol="cluster", k=k, maxIter=max_iter, seed=seed
+    ).fit(weights.transform(dealt.sortWithinPartitions("__place").select("__tf")))
+    return means.transform(weights.transform(hashed)).drop("__tf", "__weights", *place)
 
 
 def term_counts(df: DataFrame, tokens: str, by: str) -> DataFrame:

@@ -32,6 +32,6 @@ def prepared(mails: DataFrame, stopwords: Iterable[str], column: str = "emails")
 
 def clusters(prepared_mails: DataFrame, k: int = 5, terms: int = 100) -> DataFrame:
     """Most frequent terms per cluster of texts."""
-    known = prepared_mails.where("clean_text_tokenised is not null")
+    known = prepared_mails.where("clean_text_tokenised is not null").select("clean_text_tokenised")
     grouped = clustered_texts(known, "clean_text_tokenised", k)
     return top_terms(grouped, "clean_text_tokenised", "cluster", terms)

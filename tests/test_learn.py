@@ -203,3 +203,19 @@ def test_rates_are_fitted_at_the_same_time(spark):
     df = spark.createDataFrame([(float(n % 7), float(n % 2)) for n in range(40)], "x double, label double")
     out, _ = sweep_rounds(df, df, ["x"], [], "label", "stepSize", [0.1, 0.3], 2, learner=learner)
     assert sorted(r["value"] for r in out.collect()) == [0.1, 0.3]
+
+
+def test_clusters_make_each_token_list_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<string>")
+    def words(n):
+        made.add(1)
+        return (["road", "tree"] if n % 2 else ["bill", "loan"]) * (n % 5 + 1)
+
+    rows = spark.range(0, 40, 1, 4).select("id", words("id").alias("w"))
+    found = M.clustered_texts(rows, "w", k=2)
+    assert found.columns == ["id", "w", "cluster"]
+    got = {(r.id % 2, r.cluster) for r in found.collect()}
+    assert len(got) == 2 and len({c for _, c in got}) == 2
+    assert made.value == 40
