@@ -262,6 +262,7 @@ def calibrate(models: Models, own: DataFrame, slack: float) -> None:
     shared = own.sparkSession.sparkContext.broadcast(models)
     kinds = "lang string, loss double, sizes long, costs array<double>"
     told = staged(own.mapInArrow(_scored(shared, True), kinds))
+    shared.destroy()
     costs = told.select(F.posexplode("costs").alias("at", "cost")).groupBy("at").agg(F.sum("cost").alias("cost"))
     models.heat = float(HEATS[min((r["cost"], r["at"]) for r in costs.collect())[1]])
     count = len(models.langs)

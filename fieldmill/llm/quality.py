@@ -81,7 +81,7 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_pydict({"slice": [number], "cells": [cells]})
 
 
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _unit_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for number, cells in zip(batch.column("slice").to_pylist(), batch.column("cells").to_pylist()):
@@ -92,20 +92,27 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             else:
                 sums[number] = part.astype(np.int64)
     for number, part in sums.items():
-        yield pa.RecordBatch.from_pydict({"slice": [number], "cells": [part.tobytes()]})
+        part = part.reshape(-1, DIMS).astype(np.float64)
+        unit = part / np.maximum(np.linalg.norm(part, axis=1, keepdims=True), 1.0)
+        yield pa.RecordBatch.from_pydict({"slice": [number], "cells": [unit.astype(np.float32).tobytes()]})
 
 
 def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """Unit context vectors of all hashed words, from every row of ``docs``."""
+    """Unit context vectors of all hashed words, from every row of ``docs``.
+
+    A slice of the words meets in one task, so the driver gets its vectors as they stay,
+    in Arrow batches: pickled rows of 64-bit sums took many times their size in its heap.
+    """
     ship_package(docs.sparkSession)
     kind = "slice long, cells binary"
     parts = docs.select(F.col(text).alias("text")).mapInArrow(_contexts, kind)
-    out = np.zeros((WORDS, DIMS))
+    out = np.zeros((WORDS, DIMS), np.float32)
     size = WORDS // SLICES
-    for row in parts.repartition("slice").mapInArrow(_summed, kind).collect():
-        at = row["slice"] * size
-        out[at : at + size] += np.frombuffer(row["cells"], np.int64).reshape(size, DIMS)
-    return (out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1.0)).astype(np.float32)
+    for batch in parts.repartition("slice").mapInArrow(_unit_vectors, kind).toArrow().to_batches():
+        for number, cells in zip(batch.column("slice").to_pylist(), batch.column("cells")):
+            at = number * size
+            out[at : at + size] = np.frombuffer(cells.as_buffer(), np.float32).reshape(size, DIMS)
+    return out
 
 
 def pooled(words: np.ndarray, first: np.ndarray, vectors: np.ndarray) -> np.ndarray:
@@ -260,6 +267,7 @@ def train(
     got = texts.select("text", "label", held).mapInArrow(
         _features(shared), "label int, held boolean, inputs binary"
     ).toArrow()
+    shared.destroy()
     # bytes in one block: about sample_rows times INPUTS floats; the order of rows is not fixed
     packed = sorted(zip(got.column("inputs").to_pylist(), got.column("label").to_pylist(), got.column("held").to_pylist()))
     inputs = np.frombuffer(b"".join(p for p, _, _ in packed), np.float32).reshape(len(packed), INPUTS)

@@ -1,5 +1,6 @@
 import math
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -95,6 +96,20 @@ def test_random_indexing_sums_equal_a_plain_count(spark):
     assert np.allclose(quality.word_vectors(frame), want, atol=1e-6)
 
 
+def test_slices_leave_their_task_as_unit_vectors():
+    import pyarrow as pa
+
+    draw = np.random.Generator(np.random.PCG64(8))
+    sums = draw.integers(-9, 9, (2, quality.WORDS // quality.SLICES, quality.DIMS))
+    sums[:, 5] = 0
+    cells = [b"i" + zlib.compress(part.astype(np.int32).tobytes()) for part in sums]
+    batch = pa.RecordBatch.from_pydict({"slice": [3, 3], "cells": cells})
+    (got,) = quality._unit_vectors(iter([batch]))
+    kept = np.frombuffer(got.column("cells")[0].as_buffer(), np.float32).reshape(sums[0].shape)
+    want = sums.sum(axis=0) / np.maximum(np.linalg.norm(sums.sum(axis=0), axis=1, keepdims=True), 1)
+    assert got.column("slice").to_pylist() == [3] and np.array_equal(kept, want.astype(np.float32))
+
+
 def test_pooling_in_pieces(monkeypatch):
     draw = np.random.Generator(np.random.PCG64(3))
     vectors = draw.normal(size=(50, quality.DIMS)).astype(np.float32)
