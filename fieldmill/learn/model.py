@@ -19,7 +19,7 @@ from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import kept, staged
+from ..session import few_parts, kept, staged
 
 INDEX_SUFFIX = "_ind"
 FEATURES = "features"
@@ -86,7 +86,8 @@ def fit_pipeline(
     # of their own, so the encoded rows are kept meanwhile.
     encoded = kept(encoder.transform(train).select(*_columns_of(learner)))
     try:
-        fitted = learner.fit(encoded, {learner.maxBins: bins_for(encoder, learner)})
+        encoded.count()
+        fitted = learner.fit(few_parts(encoded), {learner.maxBins: bins_for(encoder, learner)})
     finally:
         encoded.unpersist()
     return PipelineModel(stages=[*encoder.stages, fitted])

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import portable_hash
-from ..session import kept, staged
+from ..session import few_parts, kept, staged
 from .evaluate import average_precision
 from .model import (
     bins_for,
@@ -86,10 +86,11 @@ def search(
     def trial(params: dict) -> tuple[float, float]:
         started = time.perf_counter()
         estimator = learner(label, **{**(fixed or {}), **params})
-        model = estimator.fit(fit_rows, {estimator.maxBins: bins_for(encoder, estimator)})
+        model = estimator.fit(few_parts(fit_rows), {estimator.maxBins: bins_for(encoder, estimator)})
         return METRICS[metric](model.transform(val_rows), label), time.perf_counter() - started
 
     try:
+        fit_rows.count()  # held before several fits read them at once
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             while len(settings) < rounds:
                 left = rounds - len(settings)

@@ -87,3 +87,13 @@ def release_staged(spark: SparkSession) -> int:
 def kept(df: DataFrame) -> DataFrame:
     """Persist a table that several actions read, spilling to disk when needed."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def few_parts(df: DataFrame, per_core: int = 3) -> DataFrame:
+    """``df`` in at most ``per_core`` partitions a core, without a shuffle.
+
+    For learners of trees: every partition fills and sends statistics of all nodes of a
+    level, however few rows it has, so their size grows with the number of partitions.
+    ``df`` should be held already, else one task makes several partitions side by side.
+    """
+    return df.coalesce(per_core * df.sparkSession.sparkContext.defaultParallelism)

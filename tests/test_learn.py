@@ -219,3 +219,18 @@ def test_clusters_make_each_token_list_once(spark):
     got = {(r.id % 2, r.cluster) for r in found.collect()}
     assert len(got) == 2 and len({c for _, c in got}) == 2
     assert made.value == 40
+
+
+def test_trees_are_fitted_on_few_partitions(spark, monkeypatch):
+    most, seen, plain = 3 * spark.sparkContext.defaultParallelism, [], M.RandomForestClassifier.fit
+
+    def fit(self, rows, params=None):
+        seen.append((rows.rdd.getNumPartitions(), rows.count()))
+        return plain(self, rows, params)
+
+    monkeypatch.setattr(M.RandomForestClassifier, "fit", fit)
+    x = F.col("id").cast("double")
+    rows = spark.range(400).select(x.alias("x"), (x % 2).alias("y")).repartition(most + 9)
+    M.fit_pipeline(rows, M.forest_classifier("y", numTrees=2), ["x"])
+    N.search(rows, rows, ["x"], [], "y", {"numTrees": ("int", 2, 3)}, 1)
+    assert seen == [(most, 400)] * 2
