@@ -8,19 +8,20 @@ from __future__ import annotations
 
 import random
 import time
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numbers import portable_hash
 from ..session import few_parts, kept, staged
-from .evaluate import average_precision
+from .evaluate import average_precision, roc_auc
+from .forest import Forest, blocks, encoded, scores
 from .model import (
     bins_for,
     boosted_classifier,
@@ -51,6 +52,9 @@ METRICS: dict[str, Callable[[DataFrame, str], float]] = {
     "average_precision": _precision,
 }
 
+# the same of plain scores
+CURVES = {"roc_auc": roc_auc, "average_precision": average_precision}
+
 
 def search(
     train: DataFrame,
@@ -79,9 +83,6 @@ def search(
     columns = ["features", label]
     fit_rows = kept(encoder.transform(train).select(*columns))
     val_rows = kept(encoder.transform(val).select(*columns))
-    rng = random.Random(seed)
-    settings: list[dict] = []
-    results: list[tuple[float, float]] = []
 
     def trial(params: dict) -> tuple[float, float]:
         started = time.perf_counter()
@@ -92,18 +93,35 @@ def search(
     try:
         fit_rows.count()  # held before several fits read them at once
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            while len(settings) < rounds:
-                left = rounds - len(settings)
-                if adaptive:
-                    scored = [(p, score) for p, (score, _) in zip(settings, results)]
-                    batch = propose(space, scored, rng, min(max(1, parallelism), left))
-                else:
-                    batch = [draw(space, rng) for _ in range(left)]
-                settings += batch
-                results += pool.map(trial, batch)
+            run = lambda batch: pool.map(trial, batch)
+            return _trials(spark, space, rounds, seed, parallelism, adaptive, run)
     finally:
         fit_rows.unpersist()
         val_rows.unpersist()
+
+
+def _trials(
+    spark: SparkSession,
+    space: Space,
+    rounds: int,
+    seed: int,
+    parallelism: int,
+    adaptive: bool,
+    run: Callable[[list[dict]], Iterable[tuple[float, float]]],
+) -> tuple[dict, DataFrame]:
+    """Best parameters and table of trials; ``run`` gives (score, seconds) of a batch."""
+    rng = random.Random(seed)
+    settings: list[dict] = []
+    results: list[tuple[float, float]] = []
+    while len(settings) < rounds:
+        left = rounds - len(settings)
+        if adaptive:
+            scored = [(p, score) for p, (score, _) in zip(settings, results)]
+            batch = propose(space, scored, rng, min(max(1, parallelism), left))
+        else:
+            batch = [draw(space, rng) for _ in range(left)]
+        settings += batch
+        results += run(batch)
     rows = [
         (i, str(sorted(p.items())), float(score), float(seconds))
         for i, (p, (score, seconds)) in enumerate(zip(settings, results))
@@ -113,6 +131,51 @@ def search(
     return (settings[best] if best is not None else {}), table
 
 
+def search_forest(
+    train: DataFrame,
+    val: DataFrame,
+    numeric: Sequence[str],
+    categorical: Sequence[str],
+    label: str,
+    space: Space,
+    rounds: int,
+    metric: str = "roc_auc",
+    seed: int = 200,
+    parallelism: int = 2,
+    adaptive: bool = False,
+    invalid: str = "skip",
+) -> tuple[dict, DataFrame]:
+    """``search`` over ``numTrees`` and ``maxDepth`` of random forests, which share their trees.
+
+    Every setting is scored on all rows of ``val`` with the forest of its own size; a tree
+    is grown once, for the deepest setting that has it. A trial's seconds hold the growth
+    for its batch.
+    """
+    if set(space) != {"numTrees", "maxDepth"}:
+        raise ValueError("forests grow in numTrees and maxDepth only")
+    fit = encoded(train, numeric, categorical, label, seed, invalid)
+    val_rows = blocks(fit.encoder.transform(val), fit.binning, label)
+    forest = Forest(fit.rows, fit.binning, seed)
+
+    def trial(params: dict) -> float:
+        trees = forest.cut(params["numTrees"], params["maxDepth"])
+        rows = staged(scores(val_rows, trees, fit.binning, label))
+        return CURVES[metric](rows, "score", label).first()[metric]
+
+    def run(batch: list[dict]) -> list[tuple[float, float]]:
+        started = time.perf_counter()
+        forest.grow([(p["numTrees"], p["maxDepth"]) for p in batch])
+        found = list(pool.map(trial, batch))
+        return [(score, time.perf_counter() - started) for score in found]
+
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            return _trials(train.sparkSession, space, rounds, seed, parallelism, adaptive, run)
+    finally:
+        fit.rows.unpersist()
+        val_rows.unpersist()
+
+
 def sweep(
     train: DataFrame,
     val: DataFrame,

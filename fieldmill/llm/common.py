@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-import io
-import zipfile
-from pathlib import Path
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, ship_package  # noqa: F401
 
 
 def fold(doc_id: Column, parts: int) -> Column:
@@ -17,28 +13,6 @@ def fold(doc_id: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % F.lit(parts)
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Give the executors' Python this package, once per application.
-
-    The archive goes to the shared folder and from there through Spark's own file
-    distribution, so nothing has to be installed on the machines of a cluster.
-    """
-    context = spark.sparkContext
-    if getattr(context, "_package_shipped", None):
-        return
-    top, packed = Path(__file__).resolve().parent.parent, io.BytesIO()
-    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
-        for file in sorted(top.rglob("*.py")):
-            archive.write(file, file.relative_to(top.parent))
-    name = scratch_path(spark, "package") + ".zip"
-    where = spark._jvm.org.apache.hadoop.fs.Path(name)
-    out = where.getFileSystem(spark._jsc.hadoopConfiguration()).create(where)
-    out.write(bytearray(packed.getvalue()))
-    out.close()
-    context.addPyFile(name)
-    context._package_shipped = name
-
-
 def stage(df: DataFrame) -> tuple[DataFrame, str]:
     """``df`` written below the shared folder and read back, and its path."""
     path = scratch_path(df.sparkSession, "llm")

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from ..functions.dates import from_epoch
 from ..functions.numbers import casts, flag
 from ..learn.evaluate import roc_auc
+from ..learn.forest import fit_forest
 from ..learn.model import fit_pipeline, forest_classifier, save_pipeline, scored
-from ..learn.tune import search
+from ..learn.tune import search_forest
 from ..operators.clean import LevelFilter, filled, sentinel_to_null, without_static
 from ..operators.rolling import Rolling, add_rolling
 from ..operators.split import entity_split, parts, random_parts
@@ -92,16 +93,17 @@ def run(raw: DataFrame, s: NetworkSettings) -> tuple[PipelineModel, DataFrame]:
         train, test = random_parts(table, 0.2, seed=s.seed)
     else:
         train, test = parts(entity_split(table, "source_ip", "is_bad"), "train", "test")
-    params = dict(s.forest)
     if s.tuning_rounds:
         fit_part, val_part = random_parts(train, 0.2, seed=s.seed)
         space = {"numTrees": ("int", 10, 500), "maxDepth": ("int", 2, 10)}
-        params, _ = search(
+        params, _ = search_forest(
             fit_part, val_part, numeric, categorical, "is_bad", space, s.tuning_rounds,
             seed=s.seed, adaptive=True,
         )
-    learner = forest_classifier("is_bad", s.seed, **params)
-    model = fit_pipeline(train, learner, numeric, categorical)
+        model = fit_forest(train, numeric, categorical, "is_bad", s.seed, **params)
+    else:
+        learner = forest_classifier("is_bad", s.seed, **s.forest)
+        model = fit_pipeline(train, learner, numeric, categorical)
     result = roc_auc(scored(model, test, "score"), "score", "is_bad")
     if s.model_output_path:
         save_pipeline(model, s.model_output_path)

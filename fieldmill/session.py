@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -97,3 +100,25 @@ def few_parts(df: DataFrame, per_core: int = 3) -> DataFrame:
     ``df`` should be held already, else one task makes several partitions side by side.
     """
     return df.coalesce(per_core * df.sparkSession.sparkContext.defaultParallelism)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python this package, once per application.
+
+    The archive goes to the shared folder and from there through Spark's own file
+    distribution, so nothing has to be installed on the machines of a cluster.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_package_shipped", None):
+        return
+    top, packed = Path(__file__).resolve().parent, io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for file in sorted(top.rglob("*.py")):
+            archive.write(file, file.relative_to(top.parent))
+    name = scratch_path(spark, "package") + ".zip"
+    where = spark._jvm.org.apache.hadoop.fs.Path(name)
+    out = where.getFileSystem(spark._jsc.hadoopConfiguration()).create(where)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    context.addPyFile(name)
+    context._package_shipped = name
