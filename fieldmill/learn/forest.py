@@ -214,24 +214,16 @@ class Arrays:
         code = flat.take(self.feature.take(at) * n + rows)
         return self.left.take(at) + self.right.take(self.start.take(at) + code)
 
-    def walk(self, x: np.ndarray, rows: np.ndarray, steps: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(rows, node) of the rows that end early, then those left after ``steps``."""
-        n, flat, at = x.shape[1], x.reshape(-1), None
-        for _ in range(steps):
-            if at is None:
-                if self.left[0] < 0:
-                    break
-                code = x[self.feature[0]].take(rows)
-                at = self.left[0] + self.right.take(code)
-            else:
-                at = self.step(flat, n, rows, at)
-            on = self.left.take(at) >= 0
-            if not on.all():
-                yield rows[~on], at[~on]
-                rows, at = rows[on], at[on]
-            if not len(rows):
-                return
-        yield rows, np.zeros(len(rows), np.int64) if at is None else at
+    def begin(self, x: np.ndarray, on: np.ndarray, drawn: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Rows whose node below the root is one of ``on``, and that node."""
+        codes = x[self.feature[0]]
+        child = self.left[0] + self.right[: self.start[1]]  # by code
+        goes = on.take(child)
+        if not goes.all():
+            mask = goes.take(codes)
+            drawn = mask if drawn is None else np.logical_and(mask, drawn)
+        rows = np.arange(len(codes)) if drawn is None else np.flatnonzero(drawn)
+        return rows, child.take(codes.take(rows))
 
 
 @dataclass
@@ -257,33 +249,41 @@ class Level:
         out = np.zeros(int(length.sum()))
         slot = np.full(len(self.arrays.left), -1, np.int64)
         slot[self.nodes] = np.arange(m)
+        on = self.arrays.left != _LEAF
         for number, x, y in opened:
             weight = bootstrap(seed, self.tree, number, len(y))
-            rows, n, flat = np.flatnonzero(weight), len(y), x.reshape(-1)
-            for rows, at in self.arrays.walk(x, rows, self.depth):
-                node = slot.take(at)
-                here = node >= 0
-                if not here.all():
-                    rows, node = rows[here], node[here]
-                if not len(rows):
-                    continue
-                cell = np.empty((k, len(rows)), np.int64)
-                side = y.take(rows)
-                for j in range(k):
-                    if m == 1:
-                        code, base = x[self.subsets[0, j]].take(rows), start[0, j]
-                    else:
-                        code = flat.take(self.subsets[:, j].take(node) * n + rows)
-                        base = start[:, j].take(node)
-                    cell[j] = code
-                    cell[j] *= 2
-                    cell[j] += side
-                    cell[j] += base
-                weights = np.broadcast_to(weight.take(rows).astype(np.float64), cell.shape).reshape(-1)
-                if 4 * cell.size > len(out):
-                    out += np.bincount(cell.reshape(-1), weights, len(out))
+            if not self.depth:  # the root has all rows, also those that were not drawn
+                weights = weight.astype(np.float64)
+                for f, at, width in zip(self.subsets[0], start[0], widths[0]):
+                    cell = x[f].astype(np.int64)
+                    cell *= 2
+                    cell += y
+                    out[at : at + width] += np.bincount(cell, weights, width)
+                continue
+            n, flat = len(y), x.reshape(-1)
+            rows, at = self.arrays.begin(x, on, weight > 0)
+            for _ in range(self.depth - 1):
+                at = self.arrays.step(flat, n, rows, at)
+                goes = on.take(at)
+                if not goes.all():
+                    rows, at = rows[goes], at[goes]
+            if not len(rows):
+                continue
+            node, side = slot.take(at), y.take(rows)
+            cell = np.empty((k, len(rows)), np.int64)
+            for j in range(k):
+                if m == 1:
+                    cell[j], base = x[self.subsets[0, j]].take(rows), start[0, j]
                 else:
-                    np.add.at(out, cell.reshape(-1), weights)
+                    cell[j], base = flat.take(self.subsets[:, j].take(node) * n + rows), start[:, j].take(node)
+                cell[j] *= 2
+                cell[j] += side
+                cell[j] += base
+            weights = np.broadcast_to(weight.take(rows).astype(np.float64), cell.shape).reshape(-1)
+            if 4 * cell.size > len(out):
+                out += np.bincount(cell.reshape(-1), weights, len(out))
+            else:
+                np.add.at(out, cell.reshape(-1), weights)
         cells = out.astype(np.int32)
         for j in range(k):
             cells[first + j] = self.subsets[:, j]
@@ -300,8 +300,8 @@ def _counted(levels: Sequence[Level], seed: int, sizes: np.ndarray, kind):
         for level in levels:
             cells, first = level.cells(seed, opened, sizes)
             m = len(level.nodes)
-            for low in range(0, m, 4096):  # offsets of a batch have 32 bits
-                high = min(low + 4096, m)
+            for low in range(0, m, 1024):  # offsets of a batch have 32 bits
+                high = min(low + 1024, m)
                 ends = ((first[low : high + 1] - first[low]) * 4).astype(np.int32)
                 data = cells[first[low] : first[high]]
                 yield pa.RecordBatch.from_arrays(
@@ -496,15 +496,25 @@ def _cut(tree: Tree, depth: int) -> Tree:
 def scores(rows: DataFrame, trees: Sequence[Tree], b: Binning, label: str) -> DataFrame:
     """(score, label) of every binned row: the mean share of class 1 over the trees."""
     arrays = [Arrays.of(t.left, t.feature, t.right, [c1 / max(c0 + c1, 1) for c0, c1 in t.counts]) for t in trees]
-    depth = max((t.level[-1] for t in trees), default=0)
     features, kind = len(b.sizes), b.kind
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, x, y in _opened(batches, features, kind):
-            total, every = np.zeros(len(y)), np.arange(len(y))
+            total, n, flat = np.zeros(len(y)), len(y), x.reshape(-1)
             for tree in arrays:
-                for at, node in tree.walk(x, every, depth):
-                    total[at] += tree.value.take(node)
+                if tree.left[0] < 0:
+                    total += tree.value[0]
+                    continue
+                on = tree.left >= 0
+                child = tree.left[0] + tree.right[: tree.start[1]]
+                ends = np.where(on.take(child), 0.0, tree.value.take(child))
+                total += ends.take(x[tree.feature[0]])
+                rows, at = tree.begin(x, on)
+                while len(rows):
+                    at = tree.step(flat, n, rows, at)
+                    goes = on.take(at)
+                    total[rows[~goes]] += tree.value.take(at[~goes])
+                    rows, at = rows[goes], at[goes]
             yield pa.RecordBatch.from_pydict({"score": pa.array(total / len(arrays)), label: pa.array(y.astype(np.int32))})
 
     return rows.mapInArrow(score, f"score double, `{label}` int")

@@ -12,8 +12,6 @@ from fieldmill.learn import model as M
 from fieldmill.learn import tune as N
 from fieldmill.plans import network
 
-LEAF = (-1, [], -1)
-
 
 @pytest.fixture(scope="module")
 def rows(spark):
@@ -166,7 +164,7 @@ def test_subtrees_that_guess_alike_are_leaves(spark):
 
 
 def test_search_grows_each_tree_once(rows, monkeypatch):
-    made, walked, plain = [], [], G.Forest.__init__
+    made, plain = [], G.Forest.__init__
 
     def held(self, *args):
         plain(self, *args)
